@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudalix.functions.dates import parse_date
-from caudalix.functions.placeholders import filled
-from caudalix.operators import intervals, packed
+from caudalix.functions.placeholders import PLACEHOLDERS, filled
+from caudalix.functions.pytext import Memo, plain_text
+from caudalix.operators import intervals, packed, units, vocabulary
 from caudalix.sources.tables import table
 
 PACKED_FIELDS = {
@@ -62,4 +66,113 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return intervals.periods_and_gaps(licence_periods(spark, folder), "codmaximo", "inicio", "fim")
 
 
-QUERIES = {"p2_found": p2_found, "p2_sizes": p2_sizes, "p7_found": p7_found}
+_BRACKET = re.compile(r"[(\[]([^()\[\]]*)[)\]]?\s*$")
+_TAIL = re.compile(r"(?:\s-|,)\s+([^,()\[\]]+)$")
+_LEAD = re.compile(r"^\s*(?:\*\s*)?(?:\d+[.)]\s*)?(?:Parâmetro:|Determinação de)?\s*")
+
+
+def _written_unit(name: str) -> str | None:
+    """The unit written after a parameter's name: in its last bracket, or after a dash or comma."""
+    found = _BRACKET.search(name) or _TAIL.search(name)
+    return found[1] if found else None
+
+
+def _bare_name(name: str) -> str:
+    """A parameter's name without bracket, unit, numbering, star and lead words."""
+    return _LEAD.sub("", re.sub(r"\s*[(\[].*$", "", _TAIL.sub("", name), flags=re.DOTALL)).replace("*", "").strip()
+
+
+def limit_reader(names: list[tuple[int, str]]):
+    """A vectorised function of (limit, unidade, parametro_doc, parametro): ref_id, source, low, high.
+
+    Each part is worked out once per distinct text and worker.
+    """
+    lookup = vocabulary.Lookup(names)
+    no_value = lambda s: s is None or s.strip() in PLACEHOLDERS
+    code = Memo(lambda s: None if no_value(s) else lookup(re.sub(r"\s*\(.*$", "", s)) or lookup(s))
+    name = Memo(lambda s: None if no_value(s) else lookup(_bare_name(plain_text(s))))
+    unit = Memo(lambda s: None if no_value(s) else units.unit_key(plain_text(s)))
+    written = Memo(lambda s: None if no_value(s) else units.unit_key(_written_unit(plain_text(s))))
+    limit = Memo(lambda s: units.parse_limit(plain_text(s)))
+
+    @F.pandas_udf("ref_id long, source string, low double, high double")
+    def read(limits: pd.Series, unidade: pd.Series, doc: pd.Series, typed: pd.Series) -> pd.DataFrame:
+        rows = []
+        for v, u, d, p in zip(limits, unidade, doc, typed):
+            found = limit[v]
+            if found is None:
+                rows.append((None, None, None, None))
+                continue
+            ref = code[p]
+            rows.append((name[d] if ref is None else ref, unit[found[2]] or unit[u] or written[d], found[0], found[1]))
+        out = pd.DataFrame(rows, columns=["ref_id", "source", "low", "high"])
+        return out.astype({"ref_id": "Int64", "low": "float64", "high": "float64"})
+
+    return read
+
+
+def common_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Every limit or range of conditions in the common unit of its parameter.
+
+    cond_id, ref_id, source and target (unit keys), low and high in the common unit (null where the units do not
+    connect). Rows with no limit or several, without any unit, or with a parameter outside the list give no row.
+    """
+    ref = table(spark, folder, "ref_valores", "ref_id", "lista", "valor", "codigo", "unidade_comum", "outros_nomes")
+    parameters = ref.where("lista = 'parametro'")
+    read = limit_reader(vocabulary.named(parameters, "ref_id", ("valor", "codigo"), "outros_nomes"))
+    rows = table(spark, folder, "conditions", "cond_id", "parametro_doc", "parametro", "unidade", "vle")
+    single = (
+        rows.where(filled(F.col("vle")))
+        .withColumn("limits", packed.values_of(F.col("vle"), packed.LIMIT))
+        .where(F.size("limits") == 1)
+        .select("cond_id", read(F.get("limits", 0), "unidade", "parametro_doc", "parametro").alias("r"))
+        .select("cond_id", "r.*")
+        .where(F.col("ref_id").isNotNull() & F.col("source").isNotNull())
+    )
+    # Both sides below are constants of a few hundred rows: the canonical list and the closure of the unit graph.
+    common = [(r.ref_id, units.unit_key(r.unidade_comum)) for r in vocabulary.small_rows(parameters)]
+    targets = spark.createDataFrame(common, "ref_id long, target string")
+    convert = lambda c: F.col(c) * F.col("scale") + F.col("offset")
+    same = F.col("source") == F.col("target")
+    return (
+        single.join(F.broadcast(targets), "ref_id")
+        .join(F.broadcast(units.conversion_table(spark)), ["source", "target"], "left")
+        .select(
+            "cond_id",
+            "ref_id",
+            "source",
+            "target",
+            F.when(same, F.col("low")).otherwise(convert("low")).alias("low"),
+            F.when(same, F.col("high")).otherwise(convert("high")).alias("high"),
+        )
+    )
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Limits written in another unit than the parameter's common one, in thousandths of the common unit."""
+    return (
+        common_units(spark, folder)
+        .where((F.col("source") != F.col("target")) & F.col("low").isNotNull())
+        .select(
+            "cond_id", units.thousandths(F.col("low")).alias("min_milesimos"), units.thousandths(F.col("high")).alias("max_milesimos")
+        )
+    )
+
+
+def p5_unconnected(spark: SparkSession, folder: str) -> DataFrame:
+    """Unit pairs that occur without a conversion: source, target, n_linhas."""
+    return (
+        common_units(spark, folder)
+        .where(F.col("low").isNull())
+        .groupBy("source", "target")
+        .agg(F.count("*").alias("n_linhas"))
+    )
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_sizes": p2_sizes,
+    "p5_found": p5_found,
+    "p5_unconnected": p5_unconnected,
+    "p7_found": p7_found,
+}

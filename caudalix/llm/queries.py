@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudalix.llm import leaks, tokens, truncation, visual
-from caudalix.operators.vocabulary import named
+from caudalix.functions.placeholders import filled, strip
+from caudalix.llm import canonical, langid, leaks, tokens, truncation, visual
+from caudalix.operators.vocabulary import named, small_rows
 from caudalix.sources.tables import table
 
 CUT_FIELDS = (
@@ -50,6 +51,88 @@ def p3_forms(spark: SparkSession, folder: str) -> DataFrame:
     return visual.forms(table(spark, folder, "conditions", *DISGUISED_FIELDS), DISGUISED_FIELDS)
 
 
+def _entries(spark: SparkSession, folder: str, lista: str) -> list[canonical.Entry]:
+    ref = table(spark, folder, "ref_valores", "ref_id", "lista", "valor", "codigo", "analises_ano", "outros_nomes")
+    return [
+        canonical.Entry(
+            r.ref_id, r.valor, tuple(x.strip() for x in (r.outros_nomes or "").split(";") if x.strip()), r.codigo, r.analises_ano
+        )
+        for r in small_rows(ref.where(F.col("lista") == lista))
+    ]
+
+
+def p6_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Every filled value that is no entry itself: tabela, row_id, campo, valor, ref_id (0: none), confianca.
+
+    Where a parameter's name alone could be several entries (a value cut early), the entry its code names is taken,
+    and the other way round.
+    """
+    parameters = _entries(spark, folder, "parametro")
+    frequencies = _entries(spark, folder, "frequencia")
+    rows = table(spark, folder, "conditions", "cond_id", "parametro_doc", "parametro")
+    doc, code = F.col("parametro_doc"), F.col("parametro")
+    doc_text = strip(F.regexp_replace(doc, r"(?s)\(.*$", ""))
+    both = rows.select(
+        "cond_id",
+        F.when(filled(doc) & ~F.coalesce(doc_text.isin([e.name for e in parameters]), F.lit(False)), doc).alias("doc"),
+        F.when(filled(code) & ~code.isin([e.code for e in parameters if e.code]), code).alias("code"),
+        doc_text.alias("doc_name"),
+        code.alias("code_name"),
+    ).where("doc is not null or code is not null")
+    exact_doc = _exact(F.col("doc_name"), {e.name: e.ref for e in parameters})
+    exact_code = _exact(F.col("code_name"), {e.code: e.ref for e in parameters if e.code})
+    named_ = both.withColumn("d", canonical.mapped(F.col("doc"), parameters)).withColumn("c", canonical.mapped(F.col("code"), parameters))
+    other = lambda own, exact, mapped_: F.when(
+        (own["ref_id"] == 0) & (own["confianca"] == 0.5), F.coalesce(exact, mapped_["ref_id"], F.lit(0))
+    ).otherwise(own["ref_id"])
+    cases = F.array_compact(
+        F.array(
+            F.when(
+                F.col("doc").isNotNull(),
+                F.struct(
+                    F.lit("parametro_doc").alias("campo"), F.col("doc").alias("valor"),
+                    other(F.col("d"), exact_code, F.col("c")).cast("bigint").alias("ref_id"), F.col("d.confianca").alias("confianca"),
+                ),
+            ),
+            F.when(
+                F.col("code").isNotNull(),
+                F.struct(
+                    F.lit("parametro").alias("campo"), F.col("code").alias("valor"),
+                    other(F.col("c"), exact_doc, F.col("d")).cast("bigint").alias("ref_id"), F.col("c.confianca").alias("confianca"),
+                ),
+            ),
+        )
+    )
+    conditions = named_.select(F.lit("conditions").alias("tabela"), F.col("cond_id").alias("row_id"), F.inline(cases))
+    typed = F.col("frequencia_amostragem")
+    autocontrolo = (
+        table(spark, folder, "autocontrolo", "ac_id", "frequencia_amostragem")
+        .where(filled(typed) & ~typed.isin([e.name for e in frequencies]))
+        .withColumn("m", canonical.mapped(typed, frequencies))
+        .select(
+            F.lit("autocontrolo").alias("tabela"), F.col("ac_id").alias("row_id"), F.lit("frequencia_amostragem").alias("campo"),
+            typed.alias("valor"), "m.ref_id", "m.confianca",
+        )
+    )
+    return conditions.unionByName(autocontrolo)
+
+
+def _exact(c, known: dict[str, int]):
+    pairs = [F.lit(x) for k, v in known.items() for x in (k, v)]
+    return F.try_element_at(F.create_map(*pairs), c).cast("bigint") if pairs else F.lit(None).cast("bigint")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The entry of the canonical list meant by each value that is none itself; 0 if there is none."""
+    return p6_values(spark, folder).select("tabela", "row_id", "campo", "ref_id")
+
+
+def p6_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """The values without an entry and how often they occur."""
+    none = p6_values(spark, folder).where("ref_id = 0")
+    return none.groupBy("tabela", "campo", "valor").agg(F.count("*").alias("n_linhas"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
@@ -83,14 +166,31 @@ def p9_spans(spark: SparkSession, folder: str) -> DataFrame:
     return _spans(spark, folder)
 
 
+def p10_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Main language and segments of every document with a confidence."""
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    return langid.identify(docs, "doc_id", "text", "lang")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Main language where the label is missing or another one, and the segments of documents in several languages."""
+    judged = p10_languages(spark, folder)
+    wrong = F.col("label").isNull() | (F.col("label") != F.col("lang"))
+    return judged.where((F.col("segmento") > 0) | wrong).select("doc_id", "segmento", "lang")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_rates": p1_rates,
     "p3_found": p3_found,
     "p3_forms": p3_forms,
+    "p6_found": p6_found,
+    "p6_unmatched": p6_unmatched,
     "p8_ids": p8_ids,
     "p8_lengths": p8_lengths,
     "p9_found": p9_found,
     "p9_spans": p9_spans,
+    "p10_found": p10_found,
+    "p10_languages": p10_languages,
 }
 ORACLES: dict[str, str] = {}

@@ -43,7 +43,7 @@ class Field:
 
 #: A parameter's name is complete in front of a bracket, dash, comma, star or full stop, its unit at the bracket's end
 #: or in front of a substance (a bracket left open counts by itself); a note is complete at its sentence's end.
-PARAMETER = r"\s*[(\[*,.;:)\]]|\s+-\s|\s[A-Z][A-Za-z0-9]{0,3}(?:[)\]]|$)"
+PARAMETER = r"\s*[(\[*,.;:)\]]|[A-Z]?\d[)\]]|\s+-\s|\s[A-Z][A-Za-z0-9]{0,3}(?:[)\]]|$)"
 SENTENCE = r"[.!?](?:\s|$)"
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudalix.functions.placeholders import filled, strip
-from caudalix.llm import canonical, langid, leaks, tokens, truncation, visual
+from caudalix.functions.placeholders import filled, strip, value
+from caudalix.llm import canonical, langid, leaks, linkage, tokens, truncation, visual
 from caudalix.operators.vocabulary import named, small_rows
 from caudalix.sources.tables import table
 
@@ -51,6 +51,62 @@ def p3_forms(spark: SparkSession, folder: str) -> DataFrame:
     return visual.forms(table(spark, folder, "conditions", *DISGUISED_FIELDS), DISGUISED_FIELDS)
 
 
+def _describing(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """The rejeicao rows with what dados_gerais says of their document; one row per rejeicao row."""
+    plants = table(
+        spark, folder, "rejeicao", "rej_id", "file_name", "designacao_da_rejeicao", "nut_concelho_freguesia", "longitude", "latitude"
+    )
+    if files is not None:
+        plants = plants.join(files, "file_name", "left_anti")
+    pick = lambda c: F.max(value(F.col(c))).alias(c)
+    general = (
+        table(spark, folder, "dados_gerais", "file_name", "requerente", "concelho", "localidade")
+        .where("file_name is not null")
+        .groupBy("file_name")
+        .agg(pick("requerente"), pick("concelho"), pick("localidade"))
+    )
+    parts = F.split(F.col("nut_concelho_freguesia"), r"\s+[/–-]\s*")
+    part = lambda i: value(F.get(parts, i))
+    return plants.join(general, "file_name", "left").select(
+        F.col("rej_id").alias("rec_id"),
+        F.col("designacao_da_rejeicao").alias("name"),
+        F.coalesce(part(1), F.col("concelho")).alias("place"),
+        F.coalesce(part(2), F.col("localidade")).alias("parish"),
+        F.col("requerente").alias("company"),
+        F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"),
+    )
+
+
+def _registry(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(
+        spark, folder, "registo", "codmaximo", "designacao_gna", "designacao", "concelho", "freguesia", "negocio",
+        "latitude_wgs84", "longitude_wgs84",
+    )
+    return rows.select(
+        F.col("codmaximo").alias("reg_id"),
+        F.coalesce(value(F.col("designacao_gna")), F.col("designacao")).alias("name"),
+        F.col("concelho").alias("place"),
+        F.col("freguesia").alias("parish"),
+        F.col("negocio").alias("company"),
+        F.col("latitude_wgs84").alias("lat"),
+        F.col("longitude_wgs84").alias("lon"),
+    )
+
+
+def p4_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The plant of each rejeicao row whose document has no codmaximo, with confidence and distance."""
+    known = table(spark, folder, "licenses", "file_name", "codmaximo").where(filled(F.col("codmaximo")))
+    records = _describing(spark, folder, known.select("file_name").distinct())
+    linked = linkage.link(records, _registry(spark, folder))
+    return linked.select(F.col("rec_id").alias("rej_id"), F.col("reg_id").alias("codmaximo"), "confianca", "km")
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """rej_id and codmaximo of the plant each unmatched rejeicao row describes."""
+    return p4_links(spark, folder).select("rej_id", "codmaximo")
+
+
 def _entries(spark: SparkSession, folder: str, lista: str) -> list[canonical.Entry]:
     ref = table(spark, folder, "ref_valores", "ref_id", "lista", "valor", "codigo", "analises_ano", "outros_nomes")
     return [
@@ -184,6 +240,8 @@ QUERIES = {
     "p1_rates": p1_rates,
     "p3_found": p3_found,
     "p3_forms": p3_forms,
+    "p4_found": p4_found,
+    "p4_links": p4_links,
     "p6_found": p6_found,
     "p6_unmatched": p6_unmatched,
     "p8_ids": p8_ids,

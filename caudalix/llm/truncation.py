@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 
 from caudalix.functions.fold import plain
 from caudalix.functions.placeholders import BLANKS, filled
+from caudalix.operators.skew import salted_join
 
 #: Lengths of the contexts, in characters; the longest with evidence decides.
 ORDERS = (3, 4, 5, 6, 8, 10, 12, 16, 20, 28)
-#: Copies of the verdicts in the join back to the rows, so that one very common fragment is spread over tasks.
-SALT = 8
 # Marks that stand where a text was cut.
 _MARK = r"(?:\s*(?:\.\.\.|…|\(\.\.\.\)|\(…\)|\[\.\.\.\]|\[…\]|>>|�+))+$"
 _START = "\u0002"
@@ -142,8 +141,6 @@ def judge(
     seen = asked.join(model, ["lang", "campo", "k", "c"]).withColumn("ends", F.col("ends") - 1).where("ends + goes_on > 0")
     best = seen.groupBy("lang", "campo", "fragment").agg(F.max_by(F.struct("k", "ends", "goes_on"), "k").alias("m"))
     verdicts = best.select("lang", "campo", "fragment", F.log((F.col("m.goes_on") + 0.5) / (F.col("m.ends") + 0.5)).alias("odds"))
-    salted = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    rows = values.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int"))
     known = F.lower("stripped").isin(complete) if complete else F.lit(False)
     odds = F.coalesce(F.col("odds"), F.lit(0.0)) + F.when(F.col("open"), 20.0).otherwise(0.0) + F.when(F.col("marked"), 10.0).otherwise(0.0)
     ends_well = F.col("stripped").rlike(r"[.!?]$") & ~F.col("open") & ~F.col("marked") & (F.col("campo").isin([f.name for f in fields if f.sentences]))
@@ -155,7 +152,7 @@ def judge(
             limit = F.when(F.col("lang") == language, own).otherwise(limit)
         threshold = F.when(F.col("campo") == f.name, limit).otherwise(threshold)
     return (
-        rows.join(salted, ["lang", "campo", "fragment", "salt"], "left")
+        salted_join(values, verdicts, ["lang", "campo", "fragment"], "id")
         .withColumn("log_odds", log_odds)
         .select(F.col("id").alias(row_id), "campo", "source", "lang", "value", "log_odds", (F.col("log_odds") > threshold).alias("cut"))
     )

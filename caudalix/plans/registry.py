@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caudalix.plans import problems
+from caudalix.plans import facts, licences, problems
 
-QUERIES = dict(problems.QUERIES)
-ORACLES: dict[str, str] = {}
+QUERIES = licences.QUERIES | facts.QUERIES | problems.QUERIES
+ORACLES: dict[str, str] = licences.ORACLES | facts.ORACLES | problems.ORACLES

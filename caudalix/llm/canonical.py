@@ -122,7 +122,8 @@ class Mapper:
         for pattern, refs in patterns.items():
             if len(refs) == 1 and pattern:
                 self.automaton.add_word(f" {pattern} ", (len(pattern), next(iter(refs))))
-        self.automaton.make_automaton()
+        if len(self.automaton):
+            self.automaton.make_automaton()
         self.starts = sorted(k for k in self.whole if len(k) >= 5)
 
     def __call__(self, typed: str) -> tuple[int, float]:
@@ -139,6 +140,8 @@ class Mapper:
 
     def mention(self, folded: str) -> int | None:
         """The entry of the longest mention; None without one, or where mentions of several entries remain."""
+        if not len(self.automaton):
+            return None
         text = f" {_tokens(folded)} "
         found = sorted(((size, end - size, end, ref) for end, (size, ref) in self.automaton.iter(text)), reverse=True)
         taken: list[tuple[int, int, int]] = []

@@ -50,7 +50,8 @@ def clean_limit(c: Column) -> Column:
 
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance, earth radius 6371 km."""
+    """Great-circle distance, earth radius 6371 km; null where a coordinate is null."""
     half = lambda a, b: F.pow(F.sin(F.radians(b - a) / 2), 2)
     h = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon1, lon2)
-    return F.lit(12742.0) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # least() passes over nulls, so the angle is only asked for where there is one.
+    return F.when(h.isNotNull(), F.lit(12742.0) * F.asin(F.least(F.lit(1.0), F.sqrt(h))))

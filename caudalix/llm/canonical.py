@@ -23,7 +23,7 @@ NUMBERS = ("zero", "uma", "duas", "tres", "quatro", "cinco", "seis", "sete", "oi
 FILLERS = frozenset("de do da dos das e a o em no na parametro determinacao amostragem analise saida entrada por".split())
 # What a unit after a dash or comma starts with, folded.
 UNIT_START = (
-    "mg ug mcg ng g kg ufc cfu m3 hm3 l litros metros miligramas microgramas gramas quilogramas graus ° kelvin k c f "
+    "mg ug mcg ng g kg ufc cfu m3 hm3 l litros metros miligramas microgramas gramas quilogramas graus °c °f kelvin k c f "
     "unidades escala sorensen us ms s microsiemens t ton toneladas"
 ).split()
 _TAIL = re.compile(r"(?:\s+-|,)\s*(" + "|".join(map(re.escape, UNIT_START)) + r")(?![a-z]).*$")

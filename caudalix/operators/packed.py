@@ -73,6 +73,13 @@ def values_of(c: Column, kind: Kind) -> Column:
     dropped. A final full stop stays.
     """
     text = F.coalesce(c, F.lit(""))
+    one = _bare(text)
+    single = F.when(one.isin(*PLACEHOLDERS), F.array().cast("array<string>")).otherwise(F.array(one))
+    # Most fields hold one value: whatever has no separator, quotation mark or list mark at all skips the fold.
+    return F.when(text.rlike(_MAY_SEPARATE), _split(text, kind)).otherwise(single)
+
+
+def _split(text: Column, kind: Kind) -> Column:
     paired = F.size(F.split(text, _QUOTES)) % 2 == 1
     marks = lambda piece: _by_marks(text, piece)
     pieces = F.when(paired, F.split(text, _QUOTES)).otherwise(F.array(text))
@@ -93,6 +100,13 @@ def values_of(c: Column, kind: Kind) -> Column:
     return F.filter(parts, lambda v: ~v.isin(*PLACEHOLDERS))
 
 
+#: Every delimiter and list mark has one of these.
+_MAY_SEPARATE = (
+    r'[;|¦•"“”„«»\r\n]|//|\s/\s|,\s+(?=\p{Lu}|\d|[≤≥<>=~±m]|alínea|artigo|n\.º)|\se\s+(?=\p{Lu}|\d|[≤≥<>=~±m]|alínea|artigo|n\.º)'
+    r"|\s\(?[a-z0-9]{1,2}[.)]\s|\s\*\s"
+)
+
+
 def _by_marks(text: Column, piece: Column) -> Column:
     out = piece
     for first, following in reversed(_MARKS):

@@ -17,6 +17,7 @@ from caudalix.operators import citations, columns, compare, criteria, lookups, m
 from caudalix.operators.skew import salted_join
 from caudalix.plans import sql
 from caudalix.plans.licences import _versions, _VERSIONS
+from caudalix.sources.documents import license_flags_text
 from caudalix.sources.tables import table
 from caudalix.streaming import inbox
 
@@ -245,6 +246,35 @@ def star_integrity(spark, folder):
     return criteria.integrity(criteria.normalise(_flat(spark, folder), "LIC"))
 
 
+# What the report calls the flags.
+FLAG_LABELS = {"f_dobro": "até ao dobro do VLE", "f_mensal": "média mensal", "f_anual": "média anual", "f_ordem": "uma ordem de grandeza", "f_gama": "gama de valores"}
+
+
+@query(
+    f"""WITH {_FLAGGED}, s AS (SELECT n_tua, {', '.join(f'sum({f}) AS {f}' for f in FLAG_LABELS)} FROM flagged WHERE n_tua IS NOT NULL GROUP BY 1)
+    SELECT n_tua, array_to_string(list_filter([{', '.join(f"CASE WHEN {f} >= 1 THEN {sql.quoted('• ' + t)} END" for f, t in FLAG_LABELS.items())}], lambda v: v IS NOT NULL), chr(10)) AS criterios,
+    ({' + '.join(FLAG_LABELS)})::BIGINT AS n FROM s"""
+)
+def criteria_to_meet(spark, folder):
+    """The criteria each licence has to meet as a bullet list, and how many flags are set in all."""
+    rows = table(spark, folder, "conditions", "n_tua", "avaliacao_conformidade_legal").where("n_tua is not null")
+    flagged = rows.select("n_tua", *criteria.flags(F.col("avaliacao_conformidade_legal")))
+    total = F.sum(sum((F.col(f) for f in FLAG_LABELS), F.lit(0)))
+    return flagged.groupBy("n_tua").agg(license_flags_text(list(FLAG_LABELS), FLAG_LABELS).alias("criterios"), total.alias("n"))
+
+
+@query(
+    f"""WITH x AS (SELECT cond_id, {_T} AS t FROM conditions), y AS (SELECT *, length(t) < 6 AS s, regexp_matches(t, 'artigo 69') AND regexp_matches(t, 'n\\.?\\s*o?\\s*6') AS a,
+    contains(t, 'alinea d') OR (contains(t, 'nenhuma amostra excede') AND contains(t, '100')) AS b FROM x), z AS (SELECT *, contains(t, 'anexo xviii') AND NOT a AND NOT b AS law FROM y)
+    SELECT cond_id, (a AND NOT s AND NOT law)::INT AS mensal, ((a OR b) AND NOT s AND NOT law)::INT AS dobro, (b AND (contains(t, 'relacao estatistica') OR contains(t, 'quadro') OR contains(t, 'alinea d')) AND NOT s AND NOT law)::INT AS quadro,
+    CASE WHEN s THEN '' WHEN law THEN 'só legislação' WHEN a OR b THEN 'derivado' ELSE 'sem critério' END AS estado FROM z"""
+)
+def licence_text_flags(spark, folder):
+    """The flags and state of an assessment by the second regime's rules."""
+    rows = table(spark, folder, "conditions", "cond_id", "avaliacao_conformidade_legal")
+    return rows.select("cond_id", *criteria.licence_flags(F.col("avaliacao_conformidade_legal")))
+
+
 @query("SELECT n_tua, count(*) AS linhas FROM conditions WHERE n_tua IS NOT NULL AND n_tua NOT IN (SELECT n_tua FROM licenses WHERE n_tua IS NOT NULL) GROUP BY 1")
 def referential_orphans(spark, folder):
     """Conditions whose licence number no licence has."""

@@ -12,6 +12,7 @@ from caudalix.functions.dates import parse_date
 from caudalix.functions.placeholders import PLACEHOLDERS, filled
 from caudalix.functions.pytext import Memo, plain_text
 from caudalix.operators import intervals, packed, units, vocabulary
+from caudalix.plans import sql
 from caudalix.sources.tables import table
 
 PACKED_FIELDS = {
@@ -177,4 +178,14 @@ QUERIES = {
     "p7_found": p7_found,
 }
 
-ORACLES: dict[str, str] = {}
+#: Queries that SQL can state over whole tables; the others are held against brute force in the tests.
+ORACLES: dict[str, str] = {
+    "p7_found": f"""WITH dates AS (SELECT file_name, {sql.date("data_de_inicio")} AS a, {sql.date("data_de_validade")} AS b FROM dados_gerais),
+    iv AS (SELECT DISTINCT l.codmaximo, a, b FROM licenses l JOIN dates USING (file_name) WHERE {sql.filled("l.codmaximo")} AND a <= b),
+    m AS (SELECT *, max(b) OVER (PARTITION BY codmaximo ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM iv),
+    g AS (SELECT *, sum(CASE WHEN reached IS NULL OR a > reached + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY codmaximo ORDER BY a, b) AS island FROM m),
+    p AS (SELECT codmaximo, island, min(a) AS a, max(b) AS b FROM g GROUP BY 1, 2), n AS (SELECT *, lead(a) OVER (PARTITION BY codmaximo ORDER BY a) AS next FROM p)
+    SELECT codmaximo, 'periodo' AS tipo, CAST(a AS VARCHAR) AS inicio, CAST(b AS VARCHAR) AS fim FROM p
+    UNION ALL SELECT codmaximo, 'lacuna', CAST(b + 1 AS VARCHAR), CAST(next - 1 AS VARCHAR) FROM n WHERE next IS NOT NULL""",
+    "p5_unconnected": "SELECT '' AS source, '' AS target, 0::BIGINT AS n_linhas WHERE false",
+}

@@ -50,9 +50,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, d
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row per readable JSON document under ``path``; unreadable ones are left out."""
-    with_bad = f"{schema}, _corrupt_record string"
-    df = spark.read.schema(with_bad).json(path, multiLine=True, mode="PERMISSIVE").cache()
-    return df.where("_corrupt_record is null").drop("_corrupt_record")
+    return spark.read.schema(schema).json(path, multiLine=True, mode="DROPMALFORMED")
 
 
 def file_index(spark: SparkSession, folders: list[str], pattern: str = "*") -> DataFrame:
@@ -128,6 +126,29 @@ def write_feed(df: DataFrame, path: str) -> None:
     df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]).write.mode("overwrite").parquet(path)
 
 
+def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
+    """Delimited text with header, every column as text, quotes doubled."""
+    df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).write.mode("overwrite").csv(path, header=True, sep=delimiter, quote='"', escape='"')
+
+
+def write_documents(df: DataFrame, path: str, by: str | None = None) -> None:
+    """One JSON object a row, in folders by ``by``."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).json(path)
+
+
+def write_json_report(df: DataFrame, path: str, **extra: str) -> None:
+    """A report as one JSON object: the rows of a short table (a top list, alerts of one run) and fixed texts."""
+    rows = F.collect_list(F.struct(*df.columns)).alias("linhas")
+    df.agg(F.count("*").alias("n"), rows).select(*[F.lit(v).alias(k) for k, v in extra.items()], "n", "linhas").coalesce(1).write.mode("overwrite").json(path)
+
+
+def referenced_files(spark: SparkSession, path: str, pattern: str = r"([\w ./-]+\.(?:xlsx|csv|json|parquet))") -> DataFrame:
+    """ficheiro, referido: the file names that text files mention."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("ficheiro"), "value")
+    return texts.select("ficheiro", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(pattern), 1))).alias("referido"))
+
+
 def append_with_retention(df: DataFrame, path: str, stamp: str, most: int = 2_000) -> None:
     """Appends report rows, then keeps the newest ``most`` in the table; what leaves it goes to ``path``_archive."""
     spark = df.sparkSession

@@ -67,3 +67,17 @@ def test_report_retention(spark, tmp_path):
         files.append_with_retention(spark.createDataFrame([(f"t{i}{j}", i) for j in range(2)], "stamp string, n int"), path, "stamp", most=3)
     assert sorted(r["stamp"] for r in spark.read.parquet(path).collect()) == ["t11", "t20", "t21"]
     assert sorted(r["stamp"] for r in spark.read.parquet(f"{path}_archive").collect()) == ["t00", "t01", "t10"]
+
+
+def test_exports(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, 'x"y\nz'), ("b", 2, None)], "k string, n int, t string")
+    files.write_csv(df, str(tmp_path / "csv"))
+    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "csv")).orderBy("k").collect()] == [("a", "1", 'x"y\nz'), ("b", "2", None)]
+    files.write_documents(df, str(tmp_path / "docs"), "k")
+    assert spark.read.json(str(tmp_path / "docs")).count() == 2
+    files.write_json_report(df, str(tmp_path / "report"), titulo="t")
+    assert spark.read.json(str(tmp_path / "report")).collect()[0]["n"] == 2
+    files.write_feed(df, str(tmp_path / "feed"))
+    assert spark.read.parquet(str(tmp_path / "feed")).where("t = ''").count() == 1
+    (tmp_path / "model.txt").write_text("let a = File(data/Licenses.xlsx), b = x.csv")
+    assert {r["referido"] for r in files.referenced_files(spark, str(tmp_path / "model.txt")).collect()} >= {"data/Licenses.xlsx"}

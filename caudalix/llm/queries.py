@@ -251,4 +251,26 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_languages": p10_languages,
 }
-ORACLES: dict[str, str] = {}
+_NO_VALUE = "('', '-', 'n/a', 'N/A', 's/d', '...', '(vazio)', '(vide)', 'None')"
+_ODD = (
+    r"[\x{00AD}\x{200B}-\x{200F}\x{2060}-\x{206F}\x{FEFF}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}\x{2010}-\x{2012}\x{2212}"
+    r"\x{FF01}-\x{FF5E}\x{2160}-\x{217F}\x{0391}-\x{03A9}\x{03B3}-\x{03C9}\p{Cyrillic}\p{M}]|[A-Za-zÀ-ÿ][αβ]|[αβ][A-Za-zÀ-ÿ]"
+)
+
+
+def _odd(field: str) -> str:
+    return (
+        f"SELECT cond_id, '{field}' AS campo FROM conditions WHERE trim({field}) NOT IN {_NO_VALUE} "
+        f"AND (regexp_matches({field}, '{_ODD}') OR nfc_normalize({field}) <> {field})"
+    )
+
+
+#: p3 and p9 in SQL; the other queries are held against brute force, round trips or held-out labels in the tests.
+ORACLES: dict[str, str] = {
+    "p3_found": " UNION ALL ".join(_odd(f) for f in DISGUISED_FIELDS),
+    "p9_found": r"""WITH d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+    i AS (SELECT item_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+    dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k+12], ' '))) AS g FROM d WHERE len(w) >= 13),
+    ig AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k+12], ' '))) AS g FROM i WHERE len(w) >= 13)
+    SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+}

@@ -17,16 +17,16 @@ CUT_FIELDS = (
 DISGUISED_FIELDS = ("parametro_doc", "legislacao_aplicavel")
 
 
-def _judged(spark: SparkSession, folder: str) -> DataFrame:
+def _judged(spark: SparkSession, folder: str, only_cut: bool = False) -> DataFrame:
     rows = table(spark, folder, "conditions", "cond_id", "origem", "parametro_doc", "observacoes")
     ref = table(spark, folder, "ref_valores", "ref_id", "valor", "codigo", "outros_nomes")
     whole = [name.lower() for _, name in named(ref, "ref_id", ("valor", "codigo"), "outros_nomes")]
-    return truncation.judge(rows, "cond_id", CUT_FIELDS, source="origem", complete=whole)
+    return truncation.judge(rows, "cond_id", CUT_FIELDS, source="origem", complete=whole, only_cut=only_cut)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """The values of parametro_doc and observacoes that were cut."""
-    return _judged(spark, folder).where("cut").select("cond_id", "campo")
+    return _judged(spark, folder, only_cut=True).select("cond_id", "campo")
 
 
 def p1_rates(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from caudalix.functions.fold import plain
 from caudalix.functions.placeholders import BLANKS, filled
 from caudalix.operators.skew import salted_join
+from caudalix.session import cut
 
 #: Lengths of the contexts, in characters; the longest with evidence decides.
 ORDERS = (3, 4, 5, 6, 8, 10, 12, 16, 20, 28)
@@ -61,28 +62,34 @@ def _open_bracket(c: Column) -> Column:
     return (opened > F.regexp_count(c, F.lit(r"[)\]]"))) | c.rlike(r"[(\[][^)\]]*$")
 
 
-def final_values(df: DataFrame, row_id: str, fields: tuple[Field, ...], lang: Column | None, source: str | None) -> DataFrame:
-    """One row per filled value: id, campo, lang, source, value, stripped, fragment, marked, open."""
-    lang = F.lit("pt") if lang is None else lang
-    each = F.array(
-        *[
-            F.struct(F.lit(f.name).alias("campo"), F.col(f.name).alias("value"), F.lit(f.sentences).alias("s"))
-            for f in fields
-        ]
-    )
-    kept = [F.col(row_id).alias("id"), lang.alias("lang")] + [(F.col(source) if source else F.lit(None).cast("string")).alias("source")]
-    rows = df.select(*kept, F.inline(each)).where(filled(F.col("value")))
-    rows = rows.withColumn("stripped", _stripped(plain(F.col("value")))).where("stripped <> ''")
-    return rows.select(
-        "id",
-        "lang",
-        "source",
-        "campo",
-        "value",
-        "stripped",
-        F.when(F.col("s"), _fragment(F.col("stripped"), True)).otherwise(_fragment(F.col("stripped"), False)).alias("fragment"),
-        F.col("value").rlike(_MARK).alias("marked"),
-        _open_bracket(F.col("stripped")).alias("open"),
+def _cells(df: DataFrame, row_id: str, fields: tuple[Field, ...], lang: Column | None, source: str | None) -> DataFrame:
+    """One row per filled cell: id, lang, source, campo, value."""
+    each = F.array(*[F.struct(F.lit(f.name).alias("campo"), F.col(f.name).alias("value")) for f in fields])
+    kept = [
+        F.col(row_id).alias("id"),
+        (F.lit("pt") if lang is None else lang).alias("lang"),
+        (F.col(source) if source else F.lit(None).cast("string")).alias("source"),
+    ]
+    return df.select(*kept, F.inline(each)).where(filled(F.col("value")))
+
+
+def distinct_values(cells: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    """lang, campo, value, n (rows), stripped, fragment, marked, open: everything is worked out once per distinct text,
+    and written once, as the model and the verdicts both start from it."""
+    sentences = [f.name for f in fields if f.sentences]
+    counted = cells.groupBy("lang", "campo", "value").agg(F.count("*").alias("n"))
+    stripped = counted.withColumn("stripped", _stripped(plain(F.col("value")))).where("stripped <> ''")
+    return cut(
+        stripped.select(
+            "lang",
+            "campo",
+            "value",
+            "n",
+            "stripped",
+            F.when(F.col("campo").isin(sentences), _fragment(F.col("stripped"), True)).otherwise(_fragment(F.col("stripped"), False)).alias("fragment"),
+            F.col("value").rlike(_MARK).alias("marked"),
+            _open_bracket(F.col("stripped")).alias("open"),
+        )
     )
 
 
@@ -96,11 +103,13 @@ def train(values: DataFrame, fields: tuple[Field, ...], orders: tuple[int, ...]
         sentences = F.when(F.col("campo") == f.name, F.lit(f.sentences)).otherwise(sentences)
     pieces = F.when(sentences, F.split("stripped", r"(?<=[.!?])\s+(?=\S)")).otherwise(F.array("stripped"))
     fragments = (
-        values.select("lang", "campo", F.posexplode(pieces).alias("i", "piece"))
-        .select("lang", "campo", F.concat(F.lit(_START), F.regexp_replace("piece", r"\d+", "0")).alias("t"))
+        values.select("lang", "campo", "n", F.explode(pieces).alias("piece"))
+        .select("lang", "campo", "n", F.concat(F.lit(_START), F.regexp_replace("piece", r"\d+", "0")).alias("t"))
         .groupBy("lang", "campo", "t")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
+    # Short as they are, the fragments grow to a row per character and order: spread them before that.
+    fragments = fragments.repartition(_tasks(values))
     at = fragments.select("lang", "campo", "t", "n", F.explode(F.sequence(F.lit(2), F.length("t"))).alias("at"))
     at = at.select("lang", "campo", "n", F.expr("substring(t, 1, at)").alias("head"), ((rest == "") | ends_here).alias("end"))
     contexts = F.array(*[F.when(F.length("head") >= k, F.struct(F.lit(k).alias("k"), F.expr(f"right(head, {k})").alias("c"))) for k in orders])
@@ -113,23 +122,12 @@ def train(values: DataFrame, fields: tuple[Field, ...], orders: tuple[int, ...]
     )
 
 
-def judge(
-    df: DataFrame,
-    row_id: str,
-    fields: tuple[Field, ...],
-    source: str | None = None,
-    lang: Column | None = None,
-    complete: list[str] | None = None,
-    orders: tuple[int, ...] = ORDERS,
-) -> DataFrame:
-    """Every filled value with its log-odds of being cut: id, campo, source, lang, log_odds, cut.
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    ``complete`` holds texts known to be whole (lower case), which are never cut. Nulls, empty texts and placeholders
-    give no row; repeated rows count each for themselves. Without rows there is no model and no result. A context
-    never seen elsewhere, at any length, gives log-odds of 0 and no cut, unless a bracket is open or a mark stands
-    after the text.
-    """
-    values = final_values(df, row_id, fields, lang, source)
+
+def verdicts(values: DataFrame, fields: tuple[Field, ...], complete: list[str] | None = None, orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """lang, campo, value, log_odds, cut for every distinct value."""
     model = train(values, fields, orders)
     finals = values.select("lang", "campo", "fragment").distinct()
     tails = F.array(*[F.when(F.length("fragment") >= k, F.struct(F.lit(k).alias("k"), F.expr(f"right(fragment, {k})").alias("c"))) for k in orders])
@@ -140,19 +138,42 @@ def judge(
     # The value's own end is left out of its evidence.
     seen = asked.join(model, ["lang", "campo", "k", "c"]).withColumn("ends", F.col("ends") - 1).where("ends + goes_on > 0")
     best = seen.groupBy("lang", "campo", "fragment").agg(F.max_by(F.struct("k", "ends", "goes_on"), "k").alias("m"))
-    verdicts = best.select("lang", "campo", "fragment", F.log((F.col("m.goes_on") + 0.5) / (F.col("m.ends") + 0.5)).alias("odds"))
+    odds = best.select("lang", "campo", "fragment", F.log((F.col("m.goes_on") + 0.5) / (F.col("m.ends") + 0.5)).alias("odds"))
     known = F.lower("stripped").isin(complete) if complete else F.lit(False)
-    odds = F.coalesce(F.col("odds"), F.lit(0.0)) + F.when(F.col("open"), 20.0).otherwise(0.0) + F.when(F.col("marked"), 10.0).otherwise(0.0)
-    ends_well = F.col("stripped").rlike(r"[.!?]$") & ~F.col("open") & ~F.col("marked") & (F.col("campo").isin([f.name for f in fields if f.sentences]))
-    log_odds = F.when(known & ~F.col("marked") | ends_well, -20.0).otherwise(odds)
+    evidence = F.coalesce(F.col("odds"), F.lit(0.0)) + F.when(F.col("open"), 20.0).otherwise(0.0) + F.when(F.col("marked"), 10.0).otherwise(0.0)
+    ends_well = F.col("stripped").rlike(r"[.!?]$") & ~F.col("open") & ~F.col("marked") & F.col("campo").isin([f.name for f in fields if f.sentences])
+    log_odds = F.when((known & ~F.col("marked")) | ends_well, -20.0).otherwise(evidence)
     threshold = F.lit(0.0)
     for f in fields:
         limit = F.lit(f.threshold)
         for language, own in f.thresholds:
             limit = F.when(F.col("lang") == language, own).otherwise(limit)
         threshold = F.when(F.col("campo") == f.name, limit).otherwise(threshold)
-    return (
-        salted_join(values, verdicts, ["lang", "campo", "fragment"], "id")
-        .withColumn("log_odds", log_odds)
-        .select(F.col("id").alias(row_id), "campo", "source", "lang", "value", "log_odds", (F.col("log_odds") > threshold).alias("cut"))
+    judged = salted_join(values, odds, ["lang", "campo", "fragment"], "value").withColumn("log_odds", log_odds)
+    return judged.select("lang", "campo", "value", "n", "log_odds", (F.col("log_odds") > threshold).alias("cut"))
+
+
+def judge(
+    df: DataFrame,
+    row_id: str,
+    fields: tuple[Field, ...],
+    source: str | None = None,
+    lang: Column | None = None,
+    complete: list[str] | None = None,
+    only_cut: bool = False,
+    orders: tuple[int, ...] = ORDERS,
+) -> DataFrame:
+    """Every filled value with its log-odds of being cut: row_id, campo, source, lang, value, log_odds, cut.
+
+    ``complete`` holds texts known to be whole (lower case), which are never cut; ``only_cut`` gives the rows of cut
+    values alone. Nulls, empty texts and placeholders give no row; repeated rows count each for themselves. Without
+    rows there is no model and no result. A context never seen elsewhere, at any length, gives log-odds of 0 and no
+    cut, unless a bracket is open or a mark stands after the text.
+    """
+    cells = _cells(df, row_id, fields, lang, source)
+    found = verdicts(distinct_values(cells, fields), fields, complete, orders).drop("n")
+    if only_cut:
+        found = found.where("cut")
+    return salted_join(cells, found, ["lang", "campo", "value"], "id", "inner").select(
+        F.col("id").alias(row_id), "campo", "source", "lang", "value", "log_odds", "cut"
     )

@@ -15,15 +15,15 @@ def pick(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]
     or reverse a value to ask for the last.
     """
     rest = [c for c in columns if c not in keys]
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
-    return df.groupBy(*keys).agg(F.min(packed).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest])
+    by = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), by).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest])
 
 
 def pick_last(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
     """The last row of each key in ``order`` (nulls first), by an aggregate with map-side combine."""
     rest = [c for c in columns if c not in keys]
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
-    return df.groupBy(*keys).agg(F.max(packed).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest])
+    by = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest])
 
 
 def ordinals(df: DataFrame, group: list[str], order: list[str], name: str = "ordem") -> DataFrame:

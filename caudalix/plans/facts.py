@@ -536,7 +536,7 @@ def stream_upsert_result(spark, folder):
     root = os.path.join(base, f"inbox-{uuid.uuid4().hex}") if "://" not in base else f"{base.rstrip('/')}/inbox-{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type").schema
     stream = inbox.arrivals(spark, folder, schema.simpleString()[7:-1].replace(":", " "), "events.parquet")
-    accepted, review = inbox.VersionedTable(spark, f"{root}/accepted"), inbox.VersionedTable(spark, f"{root}/review")
+    accepted, review = inbox.UpsertTable(spark, f"{root}/accepted", ["user_id"]), inbox.UpsertTable(spark, f"{root}/review", ["user_id"])
     work = inbox.upsert_batches(["user_id"], [F.col("ts"), F.col("event_id")], F.col("user_id").isNotNull(), accepted, review)
     inbox.run_once(stream, work, f"{root}/progress")
     return accepted.read().select("user_id", "event_id", "event_type")

@@ -44,7 +44,7 @@ def test_workbook_csv_json(spark, tmp_path):
 
 def test_inbox_upserts_late_rows_and_runs_twice(spark, tmp_path):
     box = tmp_path / "in"
-    accepted, review = inbox.VersionedTable(spark, str(tmp_path / "ok")), inbox.VersionedTable(spark, str(tmp_path / "rev"))
+    accepted, review = inbox.UpsertTable(spark, str(tmp_path / "ok"), ["k"]), inbox.UpsertTable(spark, str(tmp_path / "rev"), ["k"])
     schema = "k string, v int, t int"
     drop = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(box))
     work = inbox.upsert_batches(["k"], [F.col("t"), F.col("v")], F.col("v") >= 0, accepted, review)
@@ -61,6 +61,16 @@ def test_inbox_upserts_late_rows_and_runs_twice(spark, tmp_path):
     assert [r["k"] for r in review.read().collect()] == ["bad"]
 
 
+def test_upsert_table_compacts(spark, tmp_path):
+    t = inbox.UpsertTable(spark, str(tmp_path / "t"), ["k"], compact_every=3)
+    assert t.read() is None
+    for n in range(8):
+        t.write(spark.createDataFrame([(f"k{n % 3}", n)], "k string, v int"), n)
+        t.write(spark.createDataFrame([(f"k{n % 3}", n)], "k string, v int"), n)
+    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [("k0", 6), ("k1", 7), ("k2", 5)]
+    assert t.numbers("base") == [2, 5] and t.numbers("delta") == [3, 4, 5, 6, 7]
+
+
 def test_report_retention(spark, tmp_path):
     path = str(tmp_path / "report")
     for i in range(3):

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 PLACEHOLDERS = ("", "-", "n/a", "N/A", "s/d", "...", "(vazio)", "(vide)", "None")
 
 #: Characters trimmed around a value: every blank of Unicode, also no-break ones.
-BLANKS = r"\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """``c`` without blanks of any kind at both ends; null stays null."""
-    return F.regexp_replace(c, rf"^[{BLANKS}]+|[{BLANKS}]+$", "")
+    return F.trim(c, F.lit(BLANKS))
 
 
 def filled(c: Column) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caudalix.functions.placeholders import BLANKS, PLACEHOLDERS
+from caudalix.functions.placeholders import PLACEHOLDERS, strip
 
 _CUT, _OPEN, _CLOSE = "\u0001", "\u0002", "\u0003"
 _QUOTES = '["“”„«»]'
@@ -115,11 +115,10 @@ def _by_marks(text: Column, piece: Column) -> Column:
 
 
 def _bare(v: Column) -> Column:
-    trimmed = F.regexp_replace(v, rf"^[{BLANKS}]+|[{BLANKS}]+$", "")
-    unmarked = F.regexp_replace(trimmed, _ANY_MARK, "")
+    unmarked = F.regexp_replace(strip(v), _ANY_MARK, "")
     whole = F.regexp_extract(unmarked, f"^{_OPEN}([^{_OPEN}{_CLOSE}]*){_CLOSE}$", 1)
     inside = F.regexp_replace(unmarked, f"[{_OPEN}{_CLOSE}]", '"')
-    return F.regexp_replace(F.when(whole != "", whole).otherwise(inside), rf"^[{BLANKS}]+|[{BLANKS}]+$", "")
+    return strip(F.when(whole != "", whole).otherwise(inside))
 
 
 def unpack(df: DataFrame, row_id: str, fields: dict[str, Kind], least: int = 2) -> DataFrame:

@@ -18,8 +18,6 @@ from caudalix.functions.fold import FULL_WIDTH, HYPHENS, IGNORABLE, LOOK_ALIKES,
 from caudalix.functions.placeholders import filled
 from caudalix.functions.pytext import per_distinct, plain_text
 
-#: Characters a usual Portuguese text is written with; a value of these alone is never looked at further.
-USUAL = r"\x09\x0a\x0d\x20-\x7e¡-§©-¬®°-³µ-·¹-ÿ–—‘-‟•…€≤≥"
 # Signs whose compatibility form differs but which are usual where they stand.
 SIGNS = set("ºª²³¹µ°…½¼¾™´¨¸¯ ")
 _INVISIBLE = re.compile(f"[{IGNORABLE}]")
@@ -69,9 +67,10 @@ def disguised(c: Column) -> Column:
 
 
 def unusual(c: Column) -> Column:
-    """True where ``c`` has a character outside the usual ones, or one whose place matters; false for null."""
-    in_place = r"[\p{L}][ºª–—][\p{L}]"
-    return F.coalesce(c.rlike(f"[^{USUAL}]") | c.rlike(in_place), F.lit(False))
+    """True where ``c`` has a character beyond Latin-1, a no-break blank or soft hyphen, or one whose place matters;
+    false for null. Every disguised value is unusual; the pattern is kept plain, as each value passes it."""
+    odd = r"[^\x00-\xff]|[\xa0\xad]|\p{L}[ºª]\p{L}"
+    return F.coalesce(c.rlike(odd), F.lit(False))
 
 
 def find(df: DataFrame, row_id: str, fields: tuple[str, ...]) -> DataFrame:

@@ -17,13 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caudalix.functions.placeholders import strip
+from caudalix.functions.pytext import Memo, per_distinct
 
 LANGUAGES = ("pt", "en", "es", "fr", "de")
 #: The classifier is fitted on about so many labelled documents of each language, chosen by a hash of their id.
 SAMPLE_DOCS = 1_500
 #: Longer documents are left out of the sample, whose size is so bounded; they are scored whole like all others.
 SAMPLE_CHARS = 20_000
+#: Spellings of labels the sample is drawn from.
+MOST_LABELS = 10_000
 NGRAMS = (5, 4, 3, 2, 1)
 #: Log-odds below which a sentence follows its neighbours instead of deciding for itself.
 MARGIN = 2.5
@@ -47,15 +49,29 @@ _SENTENCE_END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+(?=[\"'“«(\[•*-]
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
 
-def label_code(c: Column) -> Column:
-    """The two-letter code a label names, in any case, with or without region; null for a missing label. Another text
+_CODES = {name: code for code, spelled in LABEL_NAMES.items() for name in spelled}
+_REGION = re.compile(r"([^\W\d_]+)(?:[-_].*)?")
+
+
+def code_of(label: str | None) -> str | None:
+    """The two-letter code a label names, in any case, with or without region; None for a missing label. Another text
     stays as it is (it names no language of the list)."""
-    text = F.lower(strip(c))
-    bare = F.regexp_extract(text, r"^([\p{L}]+)(?:[-_].*)?$", 1)
-    base = F.when(bare != "", bare).otherwise(text)
-    names = [F.lit(x) for code, spelled in LABEL_NAMES.items() for name in spelled for x in (name, code)]
-    known = F.create_map(*names)
-    return F.when(text.isin(*NO_LABEL) | text.isNull(), F.lit(None)).otherwise(F.coalesce(F.try_element_at(known, base), base))
+    text = (label or "").strip().lower()
+    if text in NO_LABEL:
+        return None
+    found = _REGION.fullmatch(text)
+    base = found[1] if found else text
+    return _CODES.get(base, base)
+
+
+def label_code(c: Column) -> Column:
+    """``code_of`` each label, worked out once per distinct label of a batch."""
+
+    @F.pandas_udf("string")
+    def coded(labels: pd.Series) -> pd.Series:
+        return pd.Series(per_distinct(labels, code_of), dtype=object)
+
+    return coded(c)
 
 
 def sentences(text: str) -> list[str]:
@@ -118,11 +134,11 @@ class Model:
         return score
 
     def text(self, text: str) -> list[float]:
-        score = [0.0] * len(self.languages)
-        for w in _WORD.findall(text.lower()):
-            for i, x in enumerate(self.word(w)):
-                score[i] += x
-        return score
+        words = _WORD.findall(text.lower())
+        if not words:
+            return [0.0] * len(self.languages)
+        known = self.words.get
+        return [sum(column) for column in zip(*[known(w) or self.word(w) for w in words])]
 
 
 def fit(labelled: list[tuple[str, str]]) -> Model | None:
@@ -148,15 +164,21 @@ def fit(labelled: list[tuple[str, str]]) -> Model | None:
 
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, most: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
     """About ``most`` labelled documents of each language, by a hash of their id: (code, text)."""
-    coded = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), label_code(F.col(lang)).alias("code"))
-    known = coded.where(F.col("code").isin(*LANGUAGES) & F.length("text").between(1, SAMPLE_CHARS))
-    sizes = {r["code"]: r["n"] for r in known.groupBy("code").agg(F.count("*").alias("n")).collect()}
-    keep = F.lit(0)
-    for code, n in sizes.items():
-        keep = F.when(F.col("code") == code, min(1_000_000, math.ceil(1_000_000 * most / n))).otherwise(keep)
-    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < keep)
-    rows = chosen.select("code", "text").limit(2 * most * len(LANGUAGES)).collect()
-    return [(r["code"], r["text"]) for r in rows]
+    spark = docs.sparkSession
+    spelled = docs.where(F.col(text).isNotNull()).groupBy(F.col(lang).alias("label")).agg(F.count("*").alias("n"))
+    labels = spelled.withColumn("code", label_code(F.col("label"))).where(F.col("code").isin(*LANGUAGES)).limit(MOST_LABELS).collect()
+    size: Counter = Counter()
+    for r in labels:
+        size[r["code"]] += r["n"]
+    # At most MOST_LABELS rows: a constant of the plan.
+    share = [(r["label"], r["code"], min(1_000_000, math.ceil(1_000_000 * most / size[r["code"]]))) for r in labels]
+    if not share:
+        return []
+    keep = F.broadcast(spark.createDataFrame(share, "label string, code string, keep int"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("label")).where(F.length("text").between(1, SAMPLE_CHARS))
+    chosen = rows.join(keep, "label").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("keep"))
+    found = chosen.select("code", "text").limit(2 * most * len(LANGUAGES)).collect()
+    return [(r["code"], r["text"]) for r in found]
 
 
 def segments(model: Model, text: str) -> list[tuple[str, float, int]]:
@@ -205,15 +227,17 @@ def identify(docs: DataFrame, doc_id: str, text: str, lang: str, model: Model |
     Null, blank and wordless texts give no row; without any labelled document there is no model and no row. Repeated
     documents are judged each for itself. Other columns are not read.
     """
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), label_code(F.col(lang)).alias("label"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("label"))
     id_type = docs.schema[doc_id].dataType.simpleString()
     if model is None:
         model = fit(sample(docs, doc_id, text, lang, most))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes = Memo(code_of)
         for batch in batches:
             out = []
-            for i, t, label in zip(batch["id"], batch["text"], batch["label"]):
+            for i, t, raw in zip(batch["id"], batch["text"], batch["label"]):
+                label = codes[raw]
                 found = segments(model, t) if model and t else []
                 if not found:
                     continue

@@ -48,7 +48,7 @@ SENTENCE = r"[.!?](?:\s|$)"
 
 
 def _stripped(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, _MARK, ""), rf"[{BLANKS}]+$", "")
+    return F.rtrim(F.regexp_replace(c, _MARK, ""), F.lit(BLANKS))
 
 
 def _fragment(c: Column, sentences: bool) -> Column:
@@ -78,7 +78,10 @@ def distinct_values(cells: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
     and written once, as the model and the verdicts both start from it."""
     sentences = [f.name for f in fields if f.sentences]
     counted = cells.groupBy("lang", "campo", "value").agg(F.count("*").alias("n"))
-    stripped = counted.withColumn("stripped", _stripped(plain(F.col("value")))).where("stripped <> ''")
+    # Few values have a character beyond Latin-1; only those are mapped to plain ones.
+    value = F.col("value")
+    mapped = F.when(value.rlike(r"[^\x00-\xff]|[\xa0\xad]"), plain(value)).otherwise(value)
+    stripped = counted.withColumn("stripped", _stripped(mapped)).where("stripped <> ''")
     return cut(
         stripped.select(
             "lang",

@@ -7,6 +7,7 @@ letters come from Unicode's own decompositions.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,6 +59,11 @@ ACCENTS = _accents()
 SIGNS = {"º": "o", "ª": "a", "²": "2", "³": "3", "¹": "1", "…": " "}
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``c`` with ``c`` worked out once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(c), body), 0)
+
+
 def _translate(c: Column, table: dict[str, str]) -> Column:
     return F.translate(c, "".join(table), "".join(table.values()))
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caudalix.functions.fold import let
 from caudalix.functions.placeholders import PLACEHOLDERS, strip
 
 _CUT, _OPEN, _CLOSE = "\u0001", "\u0002", "\u0003"
@@ -73,31 +74,30 @@ def values_of(c: Column, kind: Kind) -> Column:
     dropped. A final full stop stays.
     """
     text = F.coalesce(c, F.lit(""))
-    one = _bare(text)
-    single = F.when(one.isin(*PLACEHOLDERS), F.array().cast("array<string>")).otherwise(F.array(one))
+    single = F.filter(F.array(_bare(text)), lambda v: ~v.isin(*PLACEHOLDERS))
     # Most fields hold one value: whatever has no separator, quotation mark or list mark at all skips the fold.
     return F.when(text.rlike(_MAY_SEPARATE), _split(text, kind)).otherwise(single)
 
 
 def _split(text: Column, kind: Kind) -> Column:
     paired = F.size(F.split(text, _QUOTES)) % 2 == 1
-    marks = lambda piece: _by_marks(text, piece)
     pieces = F.when(paired, F.split(text, _QUOTES)).otherwise(F.array(text))
+    parts = let(pieces, lambda p: F.transform(F.split(_folded(text, p, kind), _CUT), _bare))
+    return F.filter(parts, lambda v: ~v.isin(*PLACEHOLDERS))
+
+
+def _folded(text: Column, pieces: Column, kind: Kind) -> Column:
+    """The text with a cut between values; literals are fenced, so that a whole one can be told from one in a value."""
 
     def even(p: Column, i: Column) -> Column:
         # Beside a literal a comma or "e" separates too, and two literals are always two values.
-        out = F.regexp_replace(marks(p), kind.delimiters(), _CUT)
-        out = F.when(i > 0, F.regexp_replace(out, r"^\s*,\s*|^\s+e\s+", _CUT)).otherwise(out)
-        out = F.when(i < F.size(pieces) - 1, F.regexp_replace(out, r"\s*,\s*$|\s+e\s+$", _CUT)).otherwise(out)
-        return F.when((i > 0) & (i < F.size(pieces) - 1) & (F.trim(out) == ""), _CUT).otherwise(out)
-
-    # Literals are fenced, so that the fold can tell a whole literal from one inside a value.
-    cut = F.transform(
-        pieces, lambda p, i: F.when(i % 2 == 1, F.concat(F.lit(_OPEN), p, F.lit(_CLOSE))).otherwise(even(p, i))
-    )
-    folded = F.aggregate(cut, F.lit(""), lambda acc, p: F.concat(acc, p))
-    parts = F.transform(F.split(folded, _CUT), lambda v: _bare(v))
-    return F.filter(parts, lambda v: ~v.isin(*PLACEHOLDERS))
+        left, right = i > 0, i < F.size(pieces) - 1
+        out = let(F.regexp_replace(_by_marks(text, p), kind.delimiters(), _CUT), lambda x: F.when(left, F.regexp_replace(x, r"^\s*,\s*|^\s+e\s+", _CUT)).otherwise(x))
+        out = let(out, lambda x: F.when(right, F.regexp_replace(x, r"\s*,\s*$|\s+e\s+$", _CUT)).otherwise(x))
+        return let(out, lambda x: F.when(left & right & (F.trim(x) == ""), _CUT).otherwise(x))
+
+    fenced = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.concat(F.lit(_OPEN), p, F.lit(_CLOSE))).otherwise(even(p, i)))
+    return F.aggregate(fenced, F.lit(""), lambda acc, p: F.concat(acc, p))
 
 
 #: Every delimiter and list mark has one of these.
@@ -115,10 +115,11 @@ def _by_marks(text: Column, piece: Column) -> Column:
 
 
 def _bare(v: Column) -> Column:
-    unmarked = F.regexp_replace(strip(v), _ANY_MARK, "")
-    whole = F.regexp_extract(unmarked, f"^{_OPEN}([^{_OPEN}{_CLOSE}]*){_CLOSE}$", 1)
-    inside = F.regexp_replace(unmarked, f"[{_OPEN}{_CLOSE}]", '"')
-    return strip(F.when(whole != "", whole).otherwise(inside))
+    def unfenced(unmarked: Column) -> Column:
+        whole = F.regexp_extract(unmarked, f"^{_OPEN}([^{_OPEN}{_CLOSE}]*){_CLOSE}$", 1)
+        return F.when(unmarked.contains(_OPEN), F.coalesce(F.nullif(whole, F.lit("")), F.regexp_replace(unmarked, f"[{_OPEN}{_CLOSE}]", '"'))).otherwise(unmarked)
+
+    return strip(let(F.regexp_replace(strip(v), _ANY_MARK, ""), unfenced))
 
 
 def unpack(df: DataFrame, row_id: str, fields: dict[str, Kind], least: int = 2) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from caudalix.functions.fold import fold
+from caudalix.functions.fold import fold, let
 
 # Portuguese months, in order.
 MONTHS = (
@@ -21,7 +21,10 @@ def _made(year: Column, month: Column, day: Column) -> Column:
 def parse_date(c: Column) -> Column:
     """The date ``c`` names: ``dd-mm-yyyy``, ``dd/mm/yyyy``, ``dd.mm.yyyy``, ``yyyy-mm-dd`` (also with a time after
     it), ``yyyy/mm/dd`` or ``d de <month> de yyyy``. Null, other text and impossible dates give null."""
-    text = fold(c)
+    return let(fold(c), _parsed)
+
+
+def _parsed(text: Column) -> Column:
     day_first = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?:[ t].*)?$"
     year_first = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:[ t].*)?$"
     words = r"^(\d{1,2})(?:\.?o)? de ([a-z]{3,9})\.? de (\d{4})$"

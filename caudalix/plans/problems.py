@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -84,30 +85,29 @@ def _bare_name(name: str) -> str:
 
 
 def limit_reader(names: list[tuple[int, str]]):
-    """A vectorised function of (limit, unidade, parametro_doc, parametro): ref_id, source, low, high.
-
-    Each part is worked out once per distinct text and worker.
-    """
+    """A function over batches of (cond_id, limit, unidade, parametro_doc, parametro) to cond_id, ref_id, source, low,
+    high, for ``mapInPandas``. Each part is worked out once per distinct text and worker; rows without a limit, a unit
+    or a known parameter are left out."""
     lookup = vocabulary.Lookup(names)
     no_value = lambda s: s is None or s.strip() in PLACEHOLDERS
-    code = Memo(lambda s: None if no_value(s) else lookup(re.sub(r"\s*\(.*$", "", s)) or lookup(s))
-    name = Memo(lambda s: None if no_value(s) else lookup(_bare_name(plain_text(s))))
-    unit = Memo(lambda s: None if no_value(s) else units.unit_key(plain_text(s)))
-    written = Memo(lambda s: None if no_value(s) else units.unit_key(_written_unit(plain_text(s))))
-    limit = Memo(lambda s: units.parse_limit(plain_text(s)))
-
-    @F.pandas_udf("ref_id long, source string, low double, high double")
-    def read(limits: pd.Series, unidade: pd.Series, doc: pd.Series, typed: pd.Series) -> pd.DataFrame:
-        rows = []
-        for v, u, d, p in zip(limits, unidade, doc, typed):
-            found = limit[v]
-            if found is None:
-                rows.append((None, None, None, None))
-                continue
-            ref = code[p]
-            rows.append((name[d] if ref is None else ref, unit[found[2]] or unit[u] or written[d], found[0], found[1]))
-        out = pd.DataFrame(rows, columns=["ref_id", "source", "low", "high"])
-        return out.astype({"ref_id": "Int64", "low": "float64", "high": "float64"})
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code = Memo(lambda s: None if no_value(s) else lookup(re.sub(r"\s*\(.*$", "", s)) or lookup(s))
+        name = Memo(lambda s: None if no_value(s) else lookup(_bare_name(plain_text(s))))
+        unit = Memo(lambda s: None if no_value(s) else units.unit_key(plain_text(s)))
+        written = Memo(lambda s: None if no_value(s) else units.unit_key(_written_unit(plain_text(s))))
+        limit = Memo(lambda s: units.parse_limit(plain_text(s)))
+        for batch in batches:
+            rows = []
+            for i, v, u, d, p in zip(*[batch[c] for c in ("cond_id", "limit", "unidade", "parametro_doc", "parametro")]):
+                if (found := limit[v]) is None:
+                    continue
+                ref = code[p]
+                ref = name[d] if ref is None else ref
+                source = unit[found[2]] or unit[u] or written[d]
+                if ref is not None and source is not None:
+                    rows.append((i, ref, source, found[0], found[1]))
+            yield pd.DataFrame(rows, columns=["cond_id", "ref_id", "source", "low", "high"])
 
     return read
 
@@ -126,9 +126,8 @@ def common_units(spark: SparkSession, folder: str) -> DataFrame:
         rows.where(filled(F.col("vle")))
         .withColumn("limits", packed.values_of(F.col("vle"), packed.LIMIT))
         .where(F.size("limits") == 1)
-        .select("cond_id", read(F.get("limits", 0), "unidade", "parametro_doc", "parametro").alias("r"))
-        .select("cond_id", "r.*")
-        .where(F.col("ref_id").isNotNull() & F.col("source").isNotNull())
+        .select("cond_id", F.get("limits", 0).alias("limit"), "unidade", "parametro_doc", "parametro")
+        .mapInPandas(read, "cond_id long, ref_id long, source string, low double, high double")
     )
     # Both sides below are constants of a few hundred rows: the canonical list and the closure of the unit graph.
     common = [(r.ref_id, units.unit_key(r.unidade_comum)) for r in vocabulary.small_rows(parameters)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from caudalix.functions.fold import fold_ascii
+from caudalix.functions.fold import fold_ascii, let
 from caudalix.functions.text import collapse, ordered_contains
 
 # Fragment of a folded name without blanks -> short code; the first that fits wins.
@@ -72,17 +72,19 @@ def split_parameter(c: Column) -> tuple[Column, Column, Column]:
 
 def laboratory_key(c: Column) -> Column:
     """The name laboratories use."""
-    n = fold_ascii(F.coalesce(c, F.lit("")))
-    return (
-        F.when(n.contains("bioqu"), "CBO5")
-        .when(n.contains("quimica") | (n == "cqo"), "CQO")
-        .when(n.contains("solidos") | n.contains("suspenso"), "SST")
-        .when(n.contains("oleos") | n.contains("gordura"), "O&G")
-        .when(n.contains("azoto"), "N")
-        .when(n.contains("fosforo"), "P")
-        .when(n.startswith("ph") | n.contains("sorensen"), "pH")
-        .otherwise(F.trim(c))
-    )
+
+    def named(n: Column) -> Column:
+        return (
+            F.when(n.contains("bioqu"), "CBO5")
+            .when(n.contains("quimica") | (n == "cqo"), "CQO")
+            .when(n.contains("solidos") | n.contains("suspenso"), "SST")
+            .when(n.contains("oleos") | n.contains("gordura"), "O&G")
+            .when(n.contains("azoto"), "N")
+            .when(n.contains("fosforo"), "P")
+            .when(n.startswith("ph") | n.contains("sorensen"), "pH")
+        )
+
+    return F.coalesce(let(fold_ascii(F.coalesce(c, F.lit(""))), named), F.trim(c))
 
 
 def join_key(c: Column) -> Column:

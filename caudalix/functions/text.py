@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from caudalix.functions.fold import ACCENTS, ODD_BLANKS, SIGNS, fold_ascii
+from caudalix.functions.fold import ACCENTS, ODD_BLANKS, SIGNS, fold_ascii, let
 
 # Words left out of plant names and of asset names.
 PLANT_WORDS = ("etar", "lic", "de", "da", "do", "das", "dos")
@@ -123,10 +123,14 @@ def sampling_note(kind: Column, note: Column) -> Column:
 
 def ordered_contains(c: Column, table: list[tuple[str, str]], default: Column) -> Column:
     """The label of the first fragment that ``c`` contains, in the order given."""
-    out = default
-    for fragment, label in reversed(table):
-        out = F.when(c.contains(fragment), label).otherwise(out)
-    return out
+
+    def labelled(text: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for fragment, label in reversed(table):
+            out = F.when(text.contains(fragment), label).otherwise(out)
+        return out
+
+    return F.coalesce(let(c, labelled), default)
 
 
 def split_two(c: Column, delimiter: str) -> tuple[Column, Column]:

@@ -215,4 +215,5 @@ def mapped(c: Column, entries: list[Entry], least: float = 0.72) -> Column:
         rows = [made[i] if i >= 0 else (None, None) for i in codes]
         return pd.DataFrame(rows, columns=["ref_id", "confianca"]).astype({"ref_id": "Int64", "confianca": "float64"})
 
-    return found(c)
+    # Marked so that the optimizer does not copy it to each use of its fields.
+    return found.asNondeterministic()(c)

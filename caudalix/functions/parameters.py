@@ -38,8 +38,8 @@ COMPARED = [
     ("azoto amoniacal", "N-NH4"), ("amoniacal", "N-NH4"), ("azoto total", "N-total"), ("azoto", "N-total"),
     ("fósforo", "P-total"), ("fosforo", "P-total"), ("coliformes", "Coliformes"), ("óleos", "Óleos e gorduras"),
 ]
-# Two names cut in the documents -> code.
-CUT_NAMES = [("Carência Bioquímica de Oxi", "CBO5"), ("Carência Química de Oxi", "CQO")]
+# Two names as the documents cut them -> code.
+CUT_NAMES = [("Carência Bioquímica de", "CBO5"), ("Carência Química de", "CQO")]
 
 
 def name_key(c: Column) -> Column:
@@ -107,3 +107,12 @@ def compared_name(c: Column) -> Column:
 def base_name(c: Column) -> Column:
     """Text in front of the first bracket."""
     return F.trim(F.split_part(F.coalesce(c, F.lit("")), F.lit("("), F.lit(1)))
+
+
+def cut_name(c: Column) -> Column:
+    """Trimmed name; the two names known to be cut become their code, blank becomes null."""
+    text = F.trim(c)
+    out = F.when(text != "", text)
+    for name, code in CUT_NAMES:
+        out = F.when(text == name, code).otherwise(out)
+    return out

@@ -166,4 +166,36 @@ def region_code(c: Column) -> Column:
     return F.regexp_extract(F.coalesce(c, F.lit("")), r"\.(RH\w+)$", 1)
 
 
+# Reporting periods by fragment -> label, in order, and the labels' sort codes (others 9).
+PERIODS = [("trimestr", "Trimestral"), ("semestr", "Semestral"), ("anual", "Anual")]
+PERIOD_ORDER = {"Mensal": 1, "Trimestral": 2, "Semestral": 3, "Anual": 4}
+# Reporting formats by fragment -> label, in order.
+FORMATS = [
+    ("siliamb", "Plataforma SILiAmb"), ("autocontrolo", "Módulo de Autocontrolo"), ("periodicidade", "A verificar"),
+    ("trimestral", "A verificar"), ("descrição", "A verificar"), ("mail", "E-mail"),
+]
+
+
+def reporting_period(c: Column) -> Column:
+    """Label of a reporting period: monthly unless it says half-yearly, then by fragment, else A verificar; blank is
+    Não especificada."""
+    text = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    monthly = text.contains("mensal") & ~text.contains("semestral")
+    return F.when(text == "", "Não especificada").when(monthly, "Mensal").otherwise(ordered_contains(text, PERIODS, F.lit("A verificar")))
+
+
+def period_order(label: Column) -> Column:
+    """Sort code of a reporting period's label."""
+    out = F.lit(9)
+    for name, n in PERIOD_ORDER.items():
+        out = F.when(label == name, n).otherwise(out)
+    return out
+
+
+def reporting_format(c: Column) -> Column:
+    """Label of a reporting format by fragment, else the text in title case; blank is Não especificado."""
+    text = F.trim(F.coalesce(c, F.lit("")))
+    return F.when(text == "", "Não especificado").otherwise(ordered_contains(F.lower(text), FORMATS, F.initcap(text)))
+
+
 __all__ = [n for n in dir() if not n.startswith("_")] + ["SIGNS"]

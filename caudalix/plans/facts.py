@@ -509,24 +509,26 @@ def dewrap_lines(spark, folder):
     return rows.select("doc_id", F.length(X.dewrap(F.col("text"))).cast("bigint").alias("n"))
 
 
-# What a frequency text contains (folded) -> label, in order; label -> sort code.
-PERIODS = [("continu", "Contínuo"), ("diari", "Diário"), ("semanal", "Semanal"), ("quinzenal", "Quinzenal"), ("trimestral", "Trimestral"), ("semestral", "Semestral"), ("mensal", "Mensal"), ("anual", "Anual")]
-PERIOD_ORDER = {"Contínuo": 0, "Diário": 1, "Semanal": 2, "Quinzenal": 3, "Mensal": 4, "Trimestral": 5, "Semestral": 6, "Anual": 7}
-_FR = sql.fold("coalesce(frequencia_amostragem, '')")
+_FR = "lower(trim(coalesce(frequencia_amostragem, '')))"
 
 
 @query(
-    f"""WITH x AS (SELECT ac_id, {sql.contains_case(_FR, PERIODS, "'A verificar'")} AS periodicidade FROM autocontrolo) SELECT ac_id, periodicidade, CASE periodicidade {' '.join(f"WHEN '{k}' THEN {v}" for k, v in PERIOD_ORDER.items())} ELSE 99 END AS ordem FROM x"""
+    f"""WITH x AS (SELECT ac_id, CASE WHEN {_FR} = '' THEN 'Não especificada' WHEN contains({_FR}, 'mensal') AND NOT contains({_FR}, 'semestral') THEN 'Mensal'
+    ELSE {sql.contains_case(_FR, X.PERIODS, "'A verificar'")} END AS periodicidade FROM autocontrolo)
+    SELECT ac_id, periodicidade, CASE periodicidade {' '.join(f"WHEN '{k}' THEN {v}" for k, v in X.PERIOD_ORDER.items())} ELSE 9 END AS ordem FROM x"""
 )
 def communications_normalised(spark, folder):
-    """Each frequency's label by ordered fragments, with its sort code."""
-    from caudalix.functions.fold import fold_ascii
+    """Each frequency's reporting label by ordered fragments, with its sort code."""
+    rows = table(spark, folder, "autocontrolo", "ac_id", "frequencia_amostragem")
+    return rows.select("ac_id", X.reporting_period(F.col("frequencia_amostragem")).alias("periodicidade")).withColumn("ordem", X.period_order(F.col("periodicidade")))
+
 
-    label = X.ordered_contains(fold_ascii(F.coalesce("frequencia_amostragem", F.lit(""))), PERIODS, F.lit("A verificar"))
-    code = F.lit(99)
-    for name, n in PERIOD_ORDER.items():
-        code = F.when(F.col("periodicidade") == name, n).otherwise(code)
-    return table(spark, folder, "autocontrolo", "ac_id", "frequencia_amostragem").select("ac_id", label.alias("periodicidade")).withColumn("ordem", code)
+@query(
+    "SELECT cond_id, CASE trim(parametro_doc) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in P.CUT_NAMES) + " WHEN '' THEN NULL ELSE trim(parametro_doc) END AS parametro FROM conditions"
+)
+def cut_names(spark, folder):
+    """Parameter names with the two known cut ones as codes."""
+    return table(spark, folder, "conditions", "cond_id", "parametro_doc").select("cond_id", P.cut_name(F.col("parametro_doc")).alias("parametro"))
 
 
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")

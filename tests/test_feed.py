@@ -30,6 +30,14 @@ def test_folding_variants(spark):
     assert one(spark, "a / b / c", X.third_place) == "b"
 
 
+def test_reporting_labels(spark):
+    for text, label in (("Mensalmente", "Mensal"), ("semestral", "Semestral"), ("Trimestral", "Trimestral"), ("Quinzenal", "A verificar"), (None, "Não especificada")):
+        assert one(spark, text, X.reporting_period) == label
+    for text, label in (("no SILiAmb", "Plataforma SILiAmb"), ("e-mail", "E-mail"), ("em papel", "Em Papel"), ("", "Não especificado")):
+        assert one(spark, text, X.reporting_format) == label
+    assert one(spark, " Carência Química de ", P.cut_name) == "CQO" and one(spark, "", P.cut_name) is None
+
+
 def test_parameter_split(spark):
     row = spark.createDataFrame([("Carência Bioquímica de Oxigénio (período de estiagem) (mg/l O2)",)], "c string").select(*P.split_parameter(F.col("c"))).collect()[0]
     assert tuple(row) == ("CBO5", "mg/L O2", "Estiagem")

@@ -90,20 +90,18 @@ def control_to_dash(c: Column) -> Column:
     return collapse(F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "-"))
 
 
+# Fixed value: white space as Python's strip knows it, no-break and typographic blanks among it.
+WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def dewrap(c: Column) -> Column:
-    """Physical lines joined: a line that ended in a blank ended a word, any other was split by the wrap."""
-    lines = F.split(F.coalesce(c, F.lit("")), "\n")
-    start = F.struct(F.lit("").alias("text"), F.lit(True).alias("word"))
-
-    def step(acc: Column, line: Column) -> Column:
-        part = F.trim(F.regexp_replace(line, r"^\s+|\s+$", ""))
-        ended = line != F.regexp_replace(line, r"\s+$", "")
-        grown = F.when(acc["text"] == "", part).when(acc["word"], F.concat(acc["text"], F.lit(" "), part)).otherwise(F.concat(acc["text"], part))
-        return F.struct(
-            F.when(part == "", acc["text"]).otherwise(grown).alias("text"), F.when(part == "", acc["word"]).otherwise(ended).alias("word")
-        )
-
-    return collapse(F.aggregate(lines, start, step, lambda acc: acc["text"]))
+    """Physical lines joined: a line that ended in a blank ended a word, any other was split by the wrap. Runs of white
+    space become one blank; null gives empty text."""
+    bare = lambda x: F.regexp_replace(x, rf"^{WHITE}+|{WHITE}+\z", "")
+    # A blank line neither adds a word boundary nor takes one away.
+    ended = lambda x: F.when(x.rlike(rf"{WHITE}\z") & (bare(x) != ""), " ").otherwise("")
+    lines = F.transform(F.split(F.coalesce(c, F.lit("")), "\n"), lambda x: F.concat(bare(x), ended(x)))
+    return F.trim(F.regexp_replace(F.array_join(lines, ""), rf"{WHITE}+", " "))
 
 
 def checkbox(c: Column) -> Column:

@@ -504,9 +504,20 @@ def resolved_markers(spark, folder):
     r"""SELECT doc_id, length(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS n FROM documents WHERE NOT contains(coalesce(text, ''), chr(10))"""
 )
 def dewrap_lines(spark, folder):
-    """Length of each one-line text once its wraps are joined."""
+    """Length of each one-line text, runs of plain blanks as one; wrapped texts are joined by ``dewrapped_texts``."""
     rows = table(spark, folder, "documents", "doc_id", "text").where(~F.coalesce(F.col("text"), F.lit("")).contains("\n"))
-    return rows.select("doc_id", F.length(X.dewrap(F.col("text"))).cast("bigint").alias("n"))
+    return rows.select("doc_id", F.length(X.collapse(F.col("text"))).cast("bigint").alias("n"))
+
+
+_BARE = f"regexp_replace(t, '^{X.WHITE}+|{X.WHITE}+$', '', 'g')"
+
+
+@query(
+    f"""SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda t: {_BARE} || CASE WHEN regexp_matches(t, '{X.WHITE}$') AND {_BARE} <> '' THEN ' ' ELSE '' END), ''), '{X.WHITE}+', ' ', 'g')) AS texto FROM documents"""
+)
+def dewrapped_texts(spark, folder):
+    """Every document with its physical lines joined."""
+    return table(spark, folder, "documents", "doc_id", "text").select("doc_id", X.dewrap(F.col("text")).alias("texto"))
 
 
 _FR = "lower(trim(coalesce(frequencia_amostragem, '')))"

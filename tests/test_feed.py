@@ -30,6 +30,29 @@ def test_folding_variants(spark):
     assert one(spark, "a / b / c", X.third_place) == "b"
 
 
+def joined_lines(text):
+    """The feed's own fold, line by line."""
+    out, boundary = "", True
+    for line in (text or "").split("\n"):
+        part = line.strip()
+        if part:
+            out = part if not out else out + (" " if boundary else "") + part
+            boundary = line != line.rstrip()
+    return " ".join(out.split())
+
+
+def test_wrapped_lines_of_every_document(spark, folder):
+    from caudalix.plans import registry
+
+    odd = ["a \n \nb", "a\n \nb", "a\u00a0\nb", "a\u2028\nb\r\nc", "\n\n", " x\u00a0 y ", "\x1c a\x85", None, ""]
+    for text in odd:
+        assert one(spark, text, X.dewrap) == joined_lines(text), text
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r["texto"] for r in registry.QUERIES["dewrapped_texts"](spark, folder).collect()}
+    assert sum("\n" in (t or "") for t in docs.values()) > len(docs) / 2
+    assert got == {k: joined_lines(t) for k, t in docs.items()}
+
+
 def test_reporting_labels(spark):
     for text, label in (("Mensalmente", "Mensal"), ("semestral", "Semestral"), ("Trimestral", "Trimestral"), ("Quinzenal", "A verificar"), (None, "Não especificada")):
         assert one(spark, text, X.reporting_period) == label

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,23 @@ def test_linkage(spark):
     assert linkage.link(df, registry.where("false")).count() == 0
 
 
+def test_linkage_compares_slips_beside_place_or_company(spark):
+    cols = "core string, root string, place string, parish string, company string, lat double, lon double"
+    for a, b, place, company in (("anrelo", "narelo", None, "k"), ("nareol", "narelu", None, "k"), ("voros", "foros", "p", None)):
+        sides = [spark.createDataFrame([(n, n, place, None, company, None, None)], cols) for n in (a, b)]
+        x, y = ({r["block"] for r in linkage._blocks(df, i == 0).collect()} for i, df in enumerate(sides))
+        assert x & y, (a, b)
+
+
+def test_linkage_keeps_unlike_names_apart(spark, monkeypatch):
+    fields = "name string, place string, parish string, company string"
+    registry = spark.createDataFrame([("E1", "ETAR de Velanoribela", "P", "Q", "K", 39.0, -8.0)], f"reg_id string, {fields}, lat double, lon double")
+    records = [(1, "ETAR municipal de Vecadutomela", "P", "Q", "K", "39.0001", "-8.0001"), (2, "ETAR de Velanoribeal", "P", "Q", "K", "39.0001", "-8.0001")]
+    monkeypatch.setattr(linkage.Weights, "log_odds", lambda self, levels: np.full(len(levels), 3.0))
+    df = spark.createDataFrame(records, f"rec_id long, {fields}, lat string, lon string")
+    assert [r["rec_id"] for r in linkage.link(df, registry).collect()] == [2]
+
+
 def test_coordinates():
     assert linkage.coordinate("37°40'18,5\"N") == pytest.approx(37.671806, abs=1e-5)
     assert linkage.coordinate("8°43'26.0\"W") == pytest.approx(-8.723889, abs=1e-5)

@@ -150,16 +150,20 @@ def referenced_files(spark: SparkSession, path: str, pattern: str = r"([\w ./-]+
 
 
 def append_with_retention(df: DataFrame, path: str, stamp: str, most: int = 2_000) -> None:
-    """Appends report rows, then keeps the newest ``most`` in the table; what leaves it goes to ``path``_archive."""
+    """Appends report rows, then keeps the newest ``most`` in the table; what leaves it goes to ``path``_archive.
+
+    Of rows with one stamp those appended last stay; rows without a stamp are the oldest. Every row is in one of the two.
+    """
     spark = df.sparkSession
     try:
         rows = spark.read.parquet(path).unionByName(df)
     except AnalysisException:
         rows = df
-    rows = cut(rows)
-    kept = rows.orderBy(F.desc(stamp)).limit(most)
-    rest = rows.join(kept.select(stamp).distinct(), stamp, "left_anti")
+    # Each row has a number of its own, so that rows of one stamp on both sides of the limit are told apart.
+    rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
+    kept = cut(rows.orderBy(F.desc_nulls_last(stamp), F.desc("_row")).limit(most))
+    rest = rows.join(F.broadcast(kept.select("_row")), "_row", "left_anti").drop("_row")
     if rest.take(1):
         rest.write.mode("append").parquet(f"{path}_archive")
-    cut(kept).write.mode("overwrite").parquet(path)
+    kept.drop("_row").write.mode("overwrite").parquet(path)
 

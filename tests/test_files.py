@@ -79,6 +79,15 @@ def test_report_retention(spark, tmp_path):
     assert sorted(r["stamp"] for r in spark.read.parquet(f"{path}_archive").collect()) == ["t00", "t01", "t10"]
 
 
+def test_report_retention_of_shared_and_missing_stamps(spark, tmp_path):
+    path, schema = str(tmp_path / "report"), "stamp string, n int"
+    for i in range(2):
+        files.append_with_retention(spark.createDataFrame([("t", 10 * i + j) for j in range(5)] + [(None, 100 + i)], schema), path, "stamp", most=3)
+    kept, archived = ([r["n"] for r in spark.read.parquet(p).collect()] for p in (path, f"{path}_archive"))
+    assert len(kept) == 3 and sorted(kept + archived) == [*range(5), *range(10, 15), 100, 101]
+    assert set(kept) <= set(range(10, 15))
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, 'x"y\nz'), ("b", 2, None)], "k string, n int, t string")
     files.write_csv(df, str(tmp_path / "csv"))

@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudalix.functions.fold import fold_ascii, slug
+from caudalix.functions.placeholders import filled
 from caudalix.operators.records import ordinals, pick
 
 # The nine flags, in order.
 FLAGS = ("f_vle", "f_reducao", "f_gama", "f_dobro", "f_150", "f_ordem", "f_mensal", "f_anual", "f_quadro")
 
+# What the flags are called in comparisons, in the same order.
+LABELS = (
+    "VLE", "% mín. remoção", "Gama de valores", "≤100% VLE (dobro)", "≤150% VLE", "≤1 ordem de grandeza", "média mensal ≤ VLE", "média anual ≤ VLE",
+    "Quadro III DL 152/97",
+)
+
 
 def flags(c: Column, no_sample_is_range: bool = True) -> list[Column]:
     """The nine 0/1 flags of an assessment text. ``no_sample_is_range``: whether "nenhuma amostra" means a range (the
@@ -38,6 +45,12 @@ def flags(c: Column, no_sample_is_range: bool = True) -> list[Column]:
     return [x.cast("int").alias(name) for x, name in zip(found, FLAGS)]
 
 
+def labels(c: Column) -> Column:
+    """The names of the flags that an assessment text sets; null where there is no text."""
+    found = F.array_compact(F.array(*[F.when(x == 1, label) for x, label in zip(flags(c), LABELS)]))
+    return F.when(filled(c), found)
+
+
 def licence_flags(c: Column) -> list[Column]:
     """Flags of a LURH assessment text: mean by month, double, table III, and how they came about."""
     t = F.coalesce(fold_ascii(c), F.lit(""))

@@ -426,18 +426,42 @@ def legal_citations(spark, folder):
     FROM a FULL JOIN b USING (codmaximo, parametro)"""
 )
 def full_outer_compare(spark, folder):
-    """Oldest against newest licence of each asset, parameter by parameter."""
+    """Oldest against newest licence of each asset, parameter by parameter, by limits and legal texts alone."""
+    return _old_and_new(spark, folder, lambda text: F.lit(None).cast("array<string>")).drop("mais", "menos")
+
+
+def _old_and_new(spark: SparkSession, folder: str, criterios) -> DataFrame:
+    """Oldest against newest licence of each asset; ``criterios`` makes the criteria of an assessment text."""
     v = _versions(spark, folder)
     pairs = compare.oldest_and_newest(v, "codmaximo", "inicio", "lic_id")
     files = v.select("lic_id", "file_name")
-    c = table(spark, folder, "conditions", "cond_id", "file_name", "parametro", "periodo", "vle", "legislacao_aplicavel").where("parametro is not null and periodo = 'Normal' and file_name is not null")
-    c = records.pick(c, ["file_name", "parametro"], [F.col("cond_id")], ["file_name", "parametro", "vle", "legislacao_aplicavel"])
+    names = ["file_name", "parametro", "vle", "legislacao_aplicavel", "avaliacao_conformidade_legal"]
+    c = table(spark, folder, "conditions", "cond_id", "periodo", *names).where("parametro is not null and periodo = 'Normal' and file_name is not null")
+    c = records.pick(c, ["file_name", "parametro"], [F.col("cond_id")], names)
 
     def side(which: str) -> DataFrame:
         own = pairs.join(files, pairs[which] == files["lic_id"]).select("codmaximo", "file_name")
-        return own.join(c, "file_name").select("codmaximo", "parametro", "vle", F.col("legislacao_aplicavel").alias("texto"), F.lit(None).cast("array<string>").alias("criterios"))
+        return own.join(c, "file_name").select("codmaximo", "parametro", "vle", F.col("legislacao_aplicavel").alias("texto"), criterios(F.col("avaliacao_conformidade_legal")).alias("criterios"))
+
+    return compare.compared(side("antiga"), side("nova"), ["codmaximo", "parametro"])
+
+
+_LESS = lambda a, b: f"coalesce(array_to_string(list_sort(list_filter({a}, lambda x: NOT list_contains({b}, x))), '; '), '')"
+_LABELS = ", ".join(f"CASE WHEN {n} = 1 THEN '{label}' END" for n, label in zip(criteria.FLAGS, criteria.LABELS))
 
-    return compare.compared(side("antiga"), side("nova"), ["codmaximo", "parametro"]).drop("mais", "menos")
+
+@query(
+    f"""WITH {_VERSIONS}, {_FLAGGED}, d AS (SELECT * FROM versions WHERE codmaximo IS NOT NULL AND inicio IS NOT NULL), o AS (SELECT codmaximo, lic_id, file_name FROM d QUALIFY row_number() OVER (PARTITION BY codmaximo ORDER BY inicio, lic_id)=1),
+    n AS (SELECT codmaximo, lic_id, file_name FROM d QUALIFY row_number() OVER (PARTITION BY codmaximo ORDER BY inicio DESC, lic_id DESC)=1), p AS (SELECT o.codmaximo, o.file_name AS fo, n.file_name AS fn FROM o JOIN n USING (codmaximo) WHERE o.lic_id <> n.lic_id),
+    c AS (SELECT file_name, parametro, vle, legislacao_aplicavel, CASE WHEN {sql.filled('avaliacao_conformidade_legal')} THEN list_filter([{_LABELS}], lambda x: x IS NOT NULL) END AS crit FROM flagged WHERE parametro IS NOT NULL AND periodo = 'Normal' QUALIFY row_number() OVER (PARTITION BY file_name, parametro ORDER BY cond_id)=1),
+    a AS (SELECT codmaximo, parametro, vle, legislacao_aplicavel AS t, crit FROM p JOIN c ON c.file_name=fo), b AS (SELECT codmaximo, parametro, vle, legislacao_aplicavel AS t, crit FROM p JOIN c ON c.file_name=fn)
+    SELECT codmaximo, parametro, coalesce(a.vle, '') AS vle_antigo, coalesce(b.vle, '') AS vle_novo, CASE WHEN b.codmaximo IS NULL THEN 'removido' WHEN a.codmaximo IS NULL THEN 'novo' WHEN a.crit = b.crit THEN 'sem alteração' WHEN a.crit <> b.crit THEN 'altera'
+    WHEN {_LEGAL('a.t')} <> {_LEGAL('b.t')} THEN 'a confirmar' ELSE 'provável sem alteração' END AS estado, {_LESS('b.crit', 'a.crit')} AS mais, {_LESS('a.crit', 'b.crit')} AS menos
+    FROM a FULL JOIN b USING (codmaximo, parametro)"""
+)
+def criteria_compared(spark, folder):
+    """Oldest against newest licence of each asset, parameter by parameter, with the criteria that came and went."""
+    return _old_and_new(spark, folder, criteria.labels)
 
 
 @query("SELECT file_name, 'dados' AS origem, localidade, '' AS ponto FROM dados_gerais WHERE localidade IS NOT NULL UNION ALL SELECT file_name, 'rejeicao', '', coalesce(designacao_da_rejeicao, '') FROM rejeicao")

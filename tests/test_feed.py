@@ -192,3 +192,14 @@ def test_columns(spark):
     assert columns.inserted(df, "g", {"n": F.lit(1)}).columns == ["g", "n", "a", "b"]
     assert columns.without(df, "^[ab]$").columns == ["g"]
     assert [tuple(r) for r in columns.placeholders_emptied(df).collect()] == [("x", "", ""), ("x", "1", "")]
+
+
+def test_licences_compared_by_their_criteria(spark):
+    from caudalix.plans import registry
+
+    rows = registry.QUERIES["criteria_compared"](spark, "/root/testdata/sf0.01").collect()
+    states = {r["estado"] for r in rows}
+    assert {"altera", "sem alteração"} <= states
+    assert all((r["mais"] + r["menos"] != "") == (r["estado"] == "altera") for r in rows)
+    assert one(spark, "média mensal, dobro do VLE", criteria.labels) == ["VLE", "≤100% VLE (dobro)", "média mensal ≤ VLE"]
+    assert one(spark, "s/d", criteria.labels) is None

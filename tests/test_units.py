@@ -44,3 +44,14 @@ def test_lookup():
     assert lookup("Carência Quím. de Ox.") == 2
     assert lookup("Azoto totla") == 3
     assert lookup("Azoto") is None and lookup("Boro") is None and lookup(None) is None and lookup("") is None
+
+
+def test_unknown_units_are_reported_and_not_converted(spark, tmp_path, folder):
+    from caudalix.plans import problems
+
+    spark.read.parquet(f"{folder}/ref_valores.parquet").write.parquet(str(tmp_path / "ref_valores.parquet"))
+    rows = [(1, "Carência Bioquímica de Oxigénio", "CBO5", "xyz", "25"), (2, "Carência Bioquímica de Oxigénio", "CBO5", "g/L", "0,025"), (3, "Carência Bioquímica de Oxigénio", "CBO5", "mg/L", "25")]
+    schema = "cond_id long, parametro_doc string, parametro string, unidade string, vle string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "conditions.parquet"))
+    assert [tuple(r) for r in problems.p5_unconnected(spark, str(tmp_path)).collect()] == [("xyz", "mg/l", 1)]
+    assert [tuple(r) for r in problems.p5_found(spark, str(tmp_path)).collect()] == [(2, 25_000, 25_000)]

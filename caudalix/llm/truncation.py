@@ -2,10 +2,13 @@
 
 A backward character n-gram model is trained on the column itself, per language and column: for the last characters of
 every fragment position it counts how often the text ends there (end of the value, of a sentence, or before a bracket)
-and how often it goes on. A value's final context is compared at the longest length with evidence, its own occurrence
-left out; it counts as cut where going on is likelier by the threshold. Open brackets and cut marks are added as
+and how often it goes on. A value's final context is compared at the longest length with evidence, one occurrence of its
+own left out; it counts as cut where going on is likelier by the threshold. Open brackets and cut marks are added as
 evidence of their own.
 
+Limit: counts are by row, so further copies of one cut text count as ends of it. Where they are many beside the rows
+that go on there (from about a quarter of all copies of a sentence), all of them are called whole.
+
 Counts cover all rows. Values are first reduced to distinct fragments (sentences) with their numbers, so repeated text
 is counted once, and contexts are counted with map-side combine.
 """
@@ -138,7 +141,7 @@ def verdicts(values: DataFrame, fields: tuple[Field, ...], complete: list[str] |
     asked = finals.select("lang", "campo", "fragment", F.explode(F.array_compact(F.array_append(tails, whole))).alias("x")).select(
         "lang", "campo", "fragment", "x.k", "x.c"
     )
-    # The value's own end is left out of its evidence.
+    # One end of the value's own is left out of its evidence; those of its copies are not.
     seen = asked.join(model, ["lang", "campo", "k", "c"]).withColumn("ends", F.col("ends") - 1).where("ends + goes_on > 0")
     best = seen.groupBy("lang", "campo", "fragment").agg(F.max_by(F.struct("k", "ends", "goes_on"), "k").alias("m"))
     odds = best.select("lang", "campo", "fragment", F.log((F.col("m.goes_on") + 0.5) / (F.col("m.ends") + 0.5)).alias("odds"))

@@ -4,6 +4,9 @@ A known word is scored by its log frequency in each language; an unseen word fal
 n-grams, from five characters down to one. The model is fitted on a bounded sample of labelled documents (labels may be
 wrong, texts mixed): a first model from the labels decides each sentence, and a second one is counted from the sentences
 so decided. Every document is then scored whole, sentence by sentence.
+
+A sentence needs several words that speak for its language: the symbols and units of a table's row ("HC | 40,0 | mg/L")
+belong to none, and what few wrong labels say about one symbol must not decide a row.
 """
 
 from __future__ import annotations
@@ -24,11 +27,13 @@ LANGUAGES = ("pt", "en", "es", "fr", "de")
 SAMPLE_DOCS = 1_500
 #: Longer documents are left out of the sample, whose size is so bounded; they are scored whole like all others.
 SAMPLE_CHARS = 20_000
-#: Spellings of labels the sample is drawn from.
+#: The sample is drawn from so many spellings of labels, the most frequent ones.
 MOST_LABELS = 10_000
 NGRAMS = (5, 4, 3, 2, 1)
 #: Log-odds below which a sentence follows its neighbours instead of deciding for itself.
 MARGIN = 2.5
+#: Different words of two letters or more that must speak for a language before a sentence decides.
+LEAST_WORDS = 3
 
 # How labels name the languages, beside their two-letter code.
 LABEL_NAMES = {
@@ -133,12 +138,23 @@ class Model:
         self.unseen[word] = score
         return score
 
-    def text(self, text: str) -> list[float]:
+    def text(self, text: str) -> tuple[list[float], int]:
+        """The scores of a text, and its language's number where the text decides, else -1."""
         words = _WORD.findall(text.lower())
         if not words:
-            return [0.0] * len(self.languages)
+            return [0.0] * len(self.languages), -1
         known = self.words.get
-        return [sum(column) for column in zip(*[known(w) or self.word(w) for w in words])]
+        scores = [known(w) or self.word(w) for w in words]
+        total = [sum(column) for column in zip(*scores)]
+        top = max(total)
+        best = total.index(top)
+        if len(total) == 1:
+            return total, best
+        second = max(range(len(total)), key=lambda i: total[i] if i != best else -math.inf)
+        if top - total[second] < MARGIN:
+            return total, -1
+        speaking = {w for w, s in zip(words, scores) if len(w) > 1 and s[best] > s[second]}
+        return total, best if len(speaking) >= LEAST_WORDS else -1
 
 
 def fit(labelled: list[tuple[str, str]]) -> Model | None:
@@ -154,19 +170,23 @@ def fit(labelled: list[tuple[str, str]]) -> Model | None:
     counts = defaultdict(Counter)
     for _, parts in split:
         for s in parts:
-            score = first.text(s)
-            best = max(score)
-            if best - sorted(score)[-2] >= MARGIN if len(score) > 1 else True:
-                counts[first.languages[score.index(best)]].update(_WORD.findall(s.lower()))
+            _, best = first.text(s)
+            if best >= 0:
+                counts[first.languages[best]].update(_WORD.findall(s.lower()))
     second = Model(counts)
     return second if second.languages else first
 
 
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, most: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
-    """About ``most`` labelled documents of each language, by a hash of their id: (code, text)."""
+    """At most about ``most`` different labelled texts of each language, by a hash of the text: (code, text).
+
+    A text is taken once, with its most frequent label, however many documents repeat it. The choice depends on nothing
+    but the texts and labels.
+    """
     spark = docs.sparkSession
     spelled = docs.where(F.col(text).isNotNull()).groupBy(F.col(lang).alias("label")).agg(F.count("*").alias("n"))
-    labels = spelled.withColumn("code", label_code(F.col("label"))).where(F.col("code").isin(*LANGUAGES)).limit(MOST_LABELS).collect()
+    known = spelled.withColumn("code", label_code(F.col("label"))).where(F.col("code").isin(*LANGUAGES))
+    labels = known.orderBy(F.desc("n"), "label").limit(MOST_LABELS).collect()
     size: Counter = Counter()
     for r in labels:
         size[r["code"]] += r["n"]
@@ -175,33 +195,32 @@ def sample(docs: DataFrame, doc_id: str, text: str, lang: str, most: int = SAMPL
     if not share:
         return []
     keep = F.broadcast(spark.createDataFrame(share, "label string, code string, keep int"))
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("label")).where(F.length("text").between(1, SAMPLE_CHARS))
-    chosen = rows.join(keep, "label").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("keep"))
-    found = chosen.select("code", "text").limit(2 * most * len(LANGUAGES)).collect()
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("label")).where(F.length("text").between(1, SAMPLE_CHARS))
+    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
+    chosen = rows.join(keep, "label").where(place < F.col("keep")).groupBy("text").agg(F.mode("code", True).alias("code"))
+    # The shares above hold on average; the order makes the bound on the driver's memory exact and its choice stable.
+    found = chosen.orderBy(place, "text").limit(2 * most * len(LANGUAGES)).collect()
     return [(r["code"], r["text"]) for r in found]
 
 
 def segments(model: Model, text: str) -> list[tuple[str, float, int]]:
     """Runs of whole sentences in one language: (language, confidence, characters), in order; none without words.
 
-    A sentence that does not decide (no words, figures, a name alone) follows the one before it, or the first that
+    A sentence that does not decide (no words, figures, a name alone, a table's row) follows the one before it, or the first that
     decides.
     """
     runs: list[list] = []  # language, scores, characters
     waiting = 0
     spare = [0.0] * len(model.languages)
     for s in sentences(text):
-        score = model.text(s)
-        ranked = sorted(score)
-        decided = len(score) == 1 or ranked[-1] - ranked[-2] >= MARGIN
-        if not decided:
+        score, best = model.text(s)
+        if best < 0:
             spare = [a + b for a, b in zip(spare, score)]
             if runs:
                 runs[-1][2] += len(s)
             else:
                 waiting += len(s)
             continue
-        best = score.index(ranked[-1])
         if runs and runs[-1][0] == best:
             runs[-1][1] = [a + b for a, b in zip(runs[-1][1], score)]
             runs[-1][2] += len(s)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from caudalix.functions.fold import fold_ascii, slug
 from caudalix.functions.placeholders import filled
 from caudalix.operators.records import ordinals, pick
+from caudalix.operators.skew import salted_join
 
 # The nine flags, in order.
 FLAGS = ("f_vle", "f_reducao", "f_gama", "f_dobro", "f_150", "f_ordem", "f_mensal", "f_anual", "f_quadro")
@@ -21,28 +24,57 @@ LABELS = (
 )
 
 
+# The texts that set each flag. A flag is set by any one of its lists, a list by all of its phrases; "!"
+# marks a phrase that must be absent and "~" a pattern. A list without phrases always holds. NO_SAMPLE is
+# left out in one of the two copies of the rules.
+NO_SAMPLE = ("nenhuma amostra",)
+RULES: dict[str, tuple[tuple[str, ...], ...]] = {
+    "f_vle": ((),),
+    "f_reducao": (),
+    "f_gama": ((r"~5[.,]0\s*-?\s*10[.,]0",), NO_SAMPLE),
+    "f_dobro": (
+        ("dobro do vle",), ("100%",), ("mais de 100",),
+        ("artigo 69", "!152/97"), ("art. 69", "!152/97"), ("artigo n", "69", "!152/97"),
+    ),
+    "f_150": (("150%",),),
+    "f_ordem": (("ordem de grandeza",),),
+    "f_mensal": (("media mensal",),),
+    "f_anual": (("media anual",),),
+    "f_quadro": (
+        ("152/97", "amostras nao conformes"), ("152/97", "minimo anual de amostras"), ("152/97", "quadro n"), ("152/97", "alinea d"),
+    ),
+}
+# The same for the second regime's assessments, and the phrase that only names the law.
+_FIRST, _SECOND = ("artigo 69", r"~n\.?\s*o?\s*6"), ("nenhuma amostra excede", "100")
+LICENCE_RULES: dict[str, tuple[tuple[str, ...], ...]] = {
+    "mensal": (_FIRST,),
+    "dobro": (_FIRST, ("alinea d",), _SECOND),
+    "quadro": (("alinea d",), (*_SECOND, "relacao estatistica"), (*_SECOND, "quadro")),
+}
+ONLY_LAW, LEAST_TEXT = "anexo xviii", 6
+
+
+def holds(text: Column, lists: tuple[tuple[str, ...], ...]) -> Column:
+    """Whether the folded ``text`` meets one of the lists of phrases."""
+
+    def met(phrase: str) -> Column:
+        if phrase.startswith("~"):
+            return text.rlike(phrase[1:])
+        return ~text.contains(phrase[1:]) if phrase.startswith("!") else text.contains(phrase)
+
+    return reduce(or_, [reduce(and_, map(met, phrases), F.lit(True)) for phrases in lists], F.lit(False))
+
+
+def _folded(c: Column) -> Column:
+    return F.coalesce(fold_ascii(c), F.lit(""))
+
+
 def flags(c: Column, no_sample_is_range: bool = True) -> list[Column]:
     """The nine 0/1 flags of an assessment text. ``no_sample_is_range``: whether "nenhuma amostra" means a range (the
     two copies of the rule in the feed differ there)."""
-    t = F.coalesce(fold_ascii(c), F.lit(""))
-    has = t.contains
-    law = has("152/97")
-    art69 = (has("artigo 69") | has("art. 69") | (has("artigo n") & has("69"))) & ~law
-    gama = t.rlike(r"5[.,]0\s*-?\s*10[.,]0")
-    if no_sample_is_range:
-        gama = gama | has("nenhuma amostra")
-    found = [
-        F.lit(True),
-        F.lit(False),
-        gama,
-        has("dobro do vle") | has("100%") | has("mais de 100") | art69,
-        has("150%"),
-        has("ordem de grandeza"),
-        has("media mensal"),
-        has("media anual"),
-        law & (has("amostras nao conformes") | has("minimo anual de amostras") | has("quadro n") | has("alinea d")),
-    ]
-    return [x.cast("int").alias(name) for x, name in zip(found, FLAGS)]
+    text = _folded(c)
+    left_out = () if no_sample_is_range else (NO_SAMPLE,)
+    return [holds(text, tuple(x for x in RULES[f] if x not in left_out)).cast("int").alias(f) for f in FLAGS]
 
 
 def labels(c: Column) -> Column:
@@ -53,15 +85,12 @@ def labels(c: Column) -> Column:
 
 def licence_flags(c: Column) -> list[Column]:
     """Flags of a LURH assessment text: mean by month, double, table III, and how they came about."""
-    t = F.coalesce(fold_ascii(c), F.lit(""))
-    short = F.length(t) < 6
-    first = t.rlike("artigo 69") & t.rlike(r"n\.?\s*o?\s*6")
-    second = t.contains("alinea d") | (t.contains("nenhuma amostra excede") & t.contains("100"))
-    third = second & (t.contains("relacao estatistica") | t.contains("quadro") | t.contains("alinea d"))
-    only_law = t.contains("anexo xviii") & ~first & ~second
-    state = F.when(short, "").when(only_law, "só legislação").when(first | second, "derivado").otherwise("sem critério")
-    one = lambda x: (x & ~short & ~only_law).cast("int")
-    return [one(first).alias("mensal"), one(first | second).alias("dobro"), one(third).alias("quadro"), state.alias("estado")]
+    text = _folded(c)
+    long = F.length(text) >= LEAST_TEXT
+    found = {name: long & holds(text, lists) for name, lists in LICENCE_RULES.items()}
+    derived = reduce(or_, found.values())
+    state = F.when(~long, "").when(derived, "derivado").when(text.contains(ONLY_LAW), "só legislação").otherwise("sem critério")
+    return [*[x.cast("int").alias(name) for name, x in found.items()], state.alias("estado")]
 
 
 def limit_order(c: Column) -> list[Column]:
@@ -103,8 +132,7 @@ def normalise(rows: DataFrame, source: str) -> Star:
     number = F.when(F.col("n") < 100, F.lpad(F.col("n").cast("string"), 2, "0")).otherwise(F.col("n").cast("string"))
     texts = texts.select(F.concat(F.lit(f"{source}_TX"), number).alias("id_texto"), "legislacao", "avaliacao", "uso")
     facts = (
-        filled.join(catalogue.drop("uso"), key)
-        .join(texts.drop("uso"), ["legislacao", "avaliacao"])
+        salted_join(salted_join(filled, catalogue.drop("uso"), key, "row_id", "inner"), texts.drop("uso"), ["legislacao", "avaliacao"], "row_id", "inner")
         .select("row_id", "licenca", "parametro_doc", "vle", "nota", "id_criterio", "id_texto")
     )
     licences = pick(filled, ["licenca"], [F.col("row_id")], ["licenca", "estabelecimento"])
@@ -112,12 +140,17 @@ def normalise(rows: DataFrame, source: str) -> Star:
     return Star(catalogue, texts, facts, licences, parameters)
 
 
+def _looked_up(facts: DataFrame, *sides: tuple[DataFrame, str]) -> DataFrame:
+    """Facts joined to unique sides, each by its key; hot keys are spread by row."""
+    for side, key in sides:
+        facts = salted_join(facts, side, [key], "row_id", "inner")
+    return facts
+
+
 def flatten(star: Star) -> DataFrame:
     """The flat view of a star: every fact with its rule, text and licence."""
     return (
-        star.facts.join(star.catalogue.drop("uso", "vle"), "id_criterio")
-        .join(star.texts.drop("uso"), "id_texto")
-        .join(star.licences, "licenca")
+        _looked_up(star.facts, (star.catalogue.drop("uso", "vle"), "id_criterio"), (star.texts.drop("uso"), "id_texto"), (star.licences, "licenca"))
         .select("row_id", "licenca", "estabelecimento", "parametro_doc", "parametro", "vle", "nota", "legislacao", "avaliacao", *FLAGS)
     )
 

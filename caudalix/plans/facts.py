@@ -289,7 +289,7 @@ def left_join_enrich_many_one(spark, folder):
     """Analyses a year by the frequency as written."""
     f = table(spark, folder, "ref_valores", "ref_id", "lista", "valor", "analises_ano").where("lista = 'frequencia'").withColumnRenamed("valor", "freq")
     rows = table(spark, folder, "autocontrolo", "ac_id", "frequencia_amostragem").withColumn("freq", F.trim("frequencia_amostragem"))
-    return lookups.many_to_one(rows, f, ["freq"], ["ref_id"], ["analises_ano"]).select("ac_id", "analises_ano")
+    return lookups.many_to_one(rows, f, ["freq"], ["ref_id"], ["analises_ano"], "ac_id").select("ac_id", "analises_ano")
 
 
 @query(
@@ -408,11 +408,24 @@ def keyword_hits(spark, folder):
     return rows.select("cond_id", F.array_join(hits, "; ").alias("palavras")).where("palavras <> ''")
 
 
-@query()
+_ACT_NAME = f"CASE {' '.join(f"WHEN regexp_matches(tok, '(?i)^(?:{p})') THEN {sql.quoted(short)}" for p, short, _ in citations.KINDS)} END || ' ' || regexp_replace(regexp_extract(tok, '{citations.NUMBER}$'), '{X.WHITE}+', '', 'g')"
+
+
+@query(
+    f"""WITH d AS (SELECT cond_id, coalesce(legislacao_aplicavel, '') AS t FROM conditions), m AS (SELECT cond_id, regexp_replace(regexp_replace(t, '(?i)({citations.CLOSES})', '⟧\\1', 'g'), '(?i){citations.OPENS}', '⟦', 'g') AS t FROM d),
+    k AS (SELECT cond_id, unnest(x) AS tok, generate_subscripts(x, 1) AS i FROM (SELECT cond_id, regexp_extract_all(t, '(?i)⟦|⟧|{citations.ACT}|{citations.NUMBER}') AS x FROM m)),
+    s AS (SELECT *, coalesce(last_value(CASE WHEN tok IN ('⟦', '⟧') THEN tok END IGNORE NULLS) OVER (PARTITION BY cond_id ORDER BY i), '⟧') = '⟦' AS clause FROM k),
+    a AS (SELECT cond_id, name, min(i) AS i FROM (SELECT cond_id, i, {_ACT_NAME} AS name FROM s WHERE NOT clause AND tok NOT IN ('⟦', '⟧')) WHERE name IS NOT NULL GROUP BY ALL),
+    n AS (SELECT cond_id, i, 'DL ' || regexp_replace(regexp_extract(tok, '{citations.NUMBER}$'), '{X.WHITE}+', '', 'g') AS am FROM s WHERE clause AND tok NOT IN ('⟦', '⟧')),
+    o AS (SELECT DISTINCT n.cond_id, n.am, coalesce(arg_max(a.name, a.i) FILTER (WHERE a.i < n.i), arg_min(a.name, a.i)) AS owner FROM n JOIN a USING (cond_id) GROUP BY n.cond_id, n.i, n.am),
+    f AS (SELECT cond_id, string_agg(name, ' | ' ORDER BY i) AS diplomas FROM a GROUP BY 1), g AS (SELECT cond_id, count(*) AS alteracoes FROM o WHERE am <> owner GROUP BY 1)
+    SELECT cond_id, coalesce(diplomas, '') AS diplomas, coalesce(alteracoes, 0) AS alteracoes FROM d LEFT JOIN f USING (cond_id) LEFT JOIN g USING (cond_id)"""
+)
 def legal_citations(spark, folder):
     """Citations of each condition: short forms, and how many amendments they carry."""
     rows = table(spark, folder, "conditions", "cond_id", "legislacao_aplicavel")
-    found = rows.withColumn("c", citations.citations(F.col("legislacao_aplicavel")))
+    # A row of one array, so that the optimizer does not copy the fold to each of its uses.
+    found = rows.select("cond_id", F.explode(F.array(citations.citations(F.col("legislacao_aplicavel")))).alias("c"))
     amended = F.aggregate("c", F.lit(0), lambda n, x: n + F.size(x["alteracoes"]))
     return found.select("cond_id", citations.flat(F.col("c")).alias("diplomas"), amended.cast("bigint").alias("alteracoes"))
 

@@ -144,11 +144,17 @@ def test_criteria_round_trip(spark):
     assert {r["id_criterio"] for r in star.catalogue.where("parametro = 'pH'").collect()} == {"X_PH_1", "X_PH_2"}
 
 
-def test_citations():
-    got = citations.cited("Lei n.º 58/2005 e Decreto-Lei n.º 152/97, com as alterações introduzidas pelo Decreto-Lei n.º 348/98 e 149/2004 (Quadro 1). Lei 58/2005")
-    assert [g[0] for g in got] == ["Lei 58/2005", "DL 152/97"]
-    assert got[1][3] == ["348/98", "149/2004"]
-    assert citations.cited("sem nada") == []
+def test_citations(spark):
+    cited = lambda text: one(spark, text, citations.citations)
+    got = cited("Lei n.º 58/2005 e Decreto-Lei n.º 152/97, com as alterações introduzidas pelo Decreto-Lei n.º 348/98 e 149/2004 (Quadro 1). Lei 58/2005")
+    assert [g["diploma"] for g in got] == ["Lei 58/2005", "DL 152/97"]
+    assert got[1]["alteracoes"] == ["DL 348/98", "DL 149/2004"] and got[1]["tipo"] == "Decreto-Lei" and got[1]["numero"] == "152/97"
+    assert cited("sem nada") == [] and cited(None) == [] and cited("") == []
+    early = cited("com as alterações introduzidas pelos n.os 1 / 99 e 2/2000. A Portaria n.º 3/2001 e o artigo 4.º da Portaria 3/2001")
+    assert [(g["diploma"], g["alteracoes"]) for g in early] == [("Portaria 3/2001", ["DL 1/99", "DL 2/2000"])]
+    ended = cited("DL 7/90; Decreto Regulamentar n.º 5/2009, com as alterações introduzidas pela Lei n.º 6/2010, e o Decreto-Lei n.º 9/2011. Resolução 8/2012 e o Decreto-Lei n.º 9/2011")
+    assert [(g["diploma"], g["alteracoes"]) for g in ended] == [("DR 5/2009", ["DL 6/2010"]), ("DL 9/2011", []), ("Resolução 8/2012", [])]
+    assert len(cited("Lei 1/2000 " * 500)) == 1
 
 
 def test_parsing(spark):

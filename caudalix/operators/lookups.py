@@ -7,58 +7,76 @@ from pyspark.sql import functions as F
 
 from caudalix.functions.numbers import distance_km
 from caudalix.operators.records import pick
+from caudalix.operators.skew import salted_join
 
 
-def many_to_one(left: DataFrame, right: DataFrame, on: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """Left join after the right side is made unique by key (first in ``order`` wins); misses are null."""
+def many_to_one(left: DataFrame, right: DataFrame, on: list[str], order: list[str], columns: list[str], row_id: str) -> DataFrame:
+    """Left join after the right side is made unique by key (first in ``order`` wins); misses are null. Hot keys of the
+    left side are spread by ``row_id``."""
     unique = pick(right, on, [F.col(c) for c in order], [*on, *columns])
-    return left.join(unique, on, "left")
+    return salted_join(left, unique, on, row_id)
 
 
 def with_fallback(left: DataFrame, right: DataFrame, on: list[str], period: str, default: str, columns: list[str]) -> DataFrame:
     """``columns`` of the right row of the same key and period, all from the ``default`` period's row where there is
-    none. The right side must be unique by key and period."""
-    own = right.select(*on, period, F.struct(*columns).alias("_own"))
-    normal = right.where(F.col(period) == default).select(*on, F.struct(*columns).alias("_normal"))
-    joined = left.join(own, [*on, period], "left").join(normal, on, "left")
-    chosen = F.coalesce(F.col("_own"), F.col("_normal"))
-    return joined.select(*left.columns, *[chosen[c].alias(c) for c in columns])
+    none. The right side must be unique by key and period; its few periods of a key are one map, so one join does."""
+    by_period = F.map_from_entries(F.collect_list(F.struct(F.col(period).alias("k"), F.struct(*columns).alias("v"))))
+    periods = right.where(F.col(period).isNotNull()).groupBy(*on).agg(by_period.alias("_periods"))
+    joined = left.join(periods, on, "left")
+    chosen = F.coalesce(F.try_element_at("_periods", F.col(period)), F.try_element_at("_periods", F.lit(default)))
+    return joined.withColumn("_chosen", chosen).select(*left.columns, *[F.col(f"_chosen.{c}").alias(c) for c in columns])
+
+
+def _pieces(df: DataFrame, key: str, least: int) -> DataFrame:
+    """key and each different run of ``least`` characters of it."""
+    at = F.sequence(F.lit(1), F.length(key) - least + 1)
+    return df.select(key, F.explode(F.array_distinct(F.transform(at, lambda i: F.substring(F.col(key), i, F.lit(least))))).alias("_g"))
+
+
+def _held(holders: DataFrame, key: str, held: DataFrame, other: str, least: int) -> DataFrame:
+    """Pairs of which ``key`` contains ``other``: they meet on the piece of ``other`` that fewest holders have."""
+    places = _pieces(holders, key, least)
+    common = places.groupBy("_g").agg(F.count("*").alias("_n"))
+    rarest = _pieces(held, other, least).join(common, "_g", "left").groupBy(other).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_r"))
+    # A piece that no holder has rules its key out.
+    asked = rarest.where("_r.n > 0").select(other, F.col("_r._g").alias("_g"))
+    return places.join(asked, "_g").where(F.col(key).contains(F.col(other))).select(key, other)
 
 
 def containing(left: DataFrame, key: str, right: DataFrame, other: str, least: int = 5) -> DataFrame:
     """Pairs of distinct keys of which one contains the other, both of ``least`` characters or more: (key, other).
 
-    A key that is contained shares its first characters with some place of the other, so the join is on those: the
-    places of one side against the starts of the other, both ways, then checked. No pair is missed.
+    The holder has every piece of ``least`` characters of the held key, so the two meet on the rarest of them, both
+    ways, and are then checked: no pair is missed, and a piece that many keys share ("santa") brings none together.
     """
     a = left.select(key).where(F.length(key) >= least).distinct()
     b = right.select(other).where(F.length(other) >= least).distinct()
-    places = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - least + 1), lambda i: F.substring(F.col(c), i, F.lit(least))))
-    start = lambda c: F.substring(F.col(c), 1, least)
-    holds = a.withColumn("_g", F.explode(places(key))).join(b.withColumn("_g", start(other)), "_g").where(F.col(key).contains(F.col(other)))
-    held = a.withColumn("_g", start(key)).join(b.withColumn("_g", F.explode(places(other))), "_g").where(F.col(other).contains(F.col(key)))
-    return holds.select(key, other).union(held.select(key, other)).distinct()
+    return _held(a, key, b, other, least).union(_held(b, other, a, key, least).select(key, other)).distinct()
 
 
 def by_words(left: DataFrame, right: DataFrame, param: str, words: str, value: str) -> DataFrame:
     """For each distinct (param, words) of the left: the distinct values of right rows with the same param that share
     a word, of all rows with the same param where none does; joined by ``; `` in order. No param match gives
-    ``not found``. The right side is a catalogue; words are arrays."""
+    ``not found``. The right side is a catalogue; words are arrays.
+
+    Rows meet on a shared word, and the list of all values is made once a param, so a param with many rows on both
+    sides brings no two of them together in vain.
+    """
     asked = left.select(param, words).distinct()
     offered = right.select(param, F.col(words).alias("_w"), value).distinct()
-    same = asked.join(offered, param, "left").withColumn("_o", F.arrays_overlap(words, "_w"))
-    chosen = same.groupBy(param, words).agg(
-        F.sort_array(F.collect_set(F.when(F.col("_o"), F.col(value)))).alias("_overlap"), F.sort_array(F.collect_set(value)).alias("_all")
-    )
-    out = F.when(F.size("_overlap") > 0, F.col("_overlap")).otherwise(F.col("_all"))
-    return chosen.select(param, words, F.when(F.size(out) == 0, "not found").otherwise(F.array_join(out, "; ")).alias(value))
+    by_word = offered.select(param, F.explode("_w").alias("_g"), value).distinct()
+    shared = asked.select(param, words, F.explode(F.array_distinct(words)).alias("_g")).join(by_word, [param, "_g"])
+    overlap = shared.groupBy(param, words).agg(F.array_join(F.sort_array(F.collect_set(value)), "; ").alias("_overlap"))
+    every = offered.groupBy(param).agg(F.array_join(F.sort_array(F.collect_set(value)), "; ").alias("_all"))
+    missed = asked.join(overlap, [param, words], "left_anti").join(every, param, "left").select(param, words, F.coalesce("_all", F.lit("not found")).alias(value))
+    return overlap.select(param, words, F.col("_overlap").alias(value)).unionByName(missed)
 
 
 def inherited(left: DataFrame, rules: DataFrame, param: str, text: str, note: str, value: str, least: int = 40) -> DataFrame:
     """The value of the rule for each distinct (param, text): same note first, else the longest note of ``least``
     characters or more of which one contains the other; null where no rule fits. Notes must be unique by param.
 
-    Containment is joined on the starts and places of ``least`` characters, as in ``containing``.
+    Containment is joined on the rarest piece of ``least`` characters, as in ``containing``.
     """
     a = left.select(param, text).where(F.col(text) != "").distinct()
     exact = a.join(rules.select(param, F.col(note).alias(text), F.col(value).alias("_v"), F.col(note).alias("_n")), [param, text])
@@ -75,6 +93,7 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, most
 
     Rows meet in the cells of a grid wide enough for ``most_km`` up to 60 degrees of latitude, the right side copied to
     the neighbouring cells, so every pair within reach is seen and no other one is compared. Ties go to the lower id.
+    The rows of a crowded cell are spread over tasks.
     """
     high, wide = most_km / 111.0, most_km / 55.5
     row = lambda c: F.floor(F.col(c) / high)
@@ -82,7 +101,7 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, most
     a = left.where("lat is not null and lon is not null").select(left_id, F.col("lat").alias("_la"), F.col("lon").alias("_lo"), row("lat").alias("_r"), col("lon").alias("_c"))
     near = F.array(*[F.struct((row("lat") + i).alias("_r"), (col("lon") + j).alias("_c")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     b = right.where("lat is not null and lon is not null").select(right_id, F.col("lat").alias("_lb"), F.col("lon").alias("_lob"), F.inline(near))
-    pairs = a.join(b, ["_r", "_c"]).withColumn("km", distance_km(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_lob")))
+    pairs = salted_join(a, b, ["_r", "_c"], left_id, "inner").withColumn("km", distance_km(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_lob")))
     best = pairs.where(F.col("km") <= most_km).groupBy(left_id).agg(F.min(F.struct("km", right_id)).alias("_b"))
     return best.select(left_id, F.col(f"_b.{right_id}"), F.col("_b.km"))
 
@@ -96,7 +115,7 @@ def name_then_nearest(left: DataFrame, right: DataFrame, left_id: str, right_id:
     a = left.select(left_id, "name_key", F.col("lat").alias("_la"), F.col("lon").alias("_lo"))
     b = right.where("name_key <> ''").select(right_id, "name_key", F.col("lat").alias("_lb"), F.col("lon").alias("_lob"))
     km = F.coalesce(distance_km(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_lob")), F.lit(9e9))
-    named = a.join(b, "name_key").groupBy(left_id).agg(F.min(F.struct(km.alias("km"), F.col(right_id).alias("r"))).alias("b"))
+    named = salted_join(a, b, ["name_key"], left_id, "inner").groupBy(left_id).agg(F.min(F.struct(km.alias("km"), F.col(right_id).alias("r"))).alias("b"))
     by_name = named.select(left_id, F.col("b.r").alias(right_id), F.lit("name").alias("metodo"))
     rest = left.join(by_name.select(left_id), left_id, "left_anti")
     by_place = nearest(rest, right, left_id, right_id, most_km).select(left_id, right_id, F.lit("coord").alias("metodo"))

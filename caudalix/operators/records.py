@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caudalix.operators.skew import salted_join
 from caudalix.session import cut
 
 
@@ -58,10 +59,10 @@ def versions(df: DataFrame, asset: str, start: Column, row_id: str) -> DataFrame
         [asset],
         [F.col("_s"), F.col(row_id)],
         [asset, row_id],
-    ).select(F.col(asset).alias("_a"), F.col(row_id).alias("_newest"))
-    joined = df.join(newest, F.col(asset) == F.col("_a"), "left")
+    ).withColumnRenamed(row_id, "_newest")
+    joined = salted_join(df, newest, [asset], row_id)
     alone = F.col(asset).isNull() | (F.col(row_id) == F.col("_newest"))
-    return joined.withColumn("vigencia", F.when(alone, "Atual").otherwise("Histórico")).drop("_a", "_newest")
+    return joined.withColumn("vigencia", F.when(alone, "Atual").otherwise("Histórico")).select(*df.columns, "vigencia")
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

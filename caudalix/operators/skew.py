@@ -1,17 +1,42 @@
-"""Joins whose big side may have one key in a third of its rows."""
+"""Joins whose big side may have one key in a third of its rows.
+
+A frequent-items sketch finds the hot keys in one narrow pass, with map-side merging and a result of fixed size. Only
+those keys are spread over tasks, each by its own share of the rows, so nothing is copied where no key is hot.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A key is hot when it holds more rows than a task's share; beyond so many tasks the share shrinks no further, which
+#: bounds the hot keys, too.
+MOST_TASKS = 1_000
+
+
+def hot_keys(df: DataFrame, on: list[str]) -> dict[int, int]:
+    """Hash of each hot key of ``df`` and the number of tasks its rows fill (2 or more). Nulls are no keys."""
+    tasks = min(MOST_TASKS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    keys = df.where(" and ".join(f"`{c}` is not null" for c in on)).select(F.xxhash64(*on).alias("h"))
+    counted = keys.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(h, {tasks}, {16 * tasks})").alias("top")).first()
+    share = counted["n"] / tasks
+    return {r["item"]: math.ceil(r["count"] / share) for r in counted["top"] or [] if r["count"] > share}
+
 
-def salted_join(big: DataFrame, unique: DataFrame, on: list[str], spread: str, how: str = "left", salts: int = 8) -> DataFrame:
-    """``big`` joined to ``unique`` (at most one row a key) with every key spread over ``salts`` tasks.
+def salted_join(big: DataFrame, other: DataFrame, on: list[str], spread: str, how: str = "left") -> DataFrame:
+    """``big`` joined to ``other`` (inner or left), the rows of hot keys of ``big`` spread over several tasks.
 
-    The salt comes from the column ``spread`` of the big side; the unique side is copied once a salt. Nulls in keys
-    match nothing.
+    A hot key's rows are told apart by the column ``spread`` of the big side, and the other side's rows of that key are
+    copied once a part. Nulls in keys match nothing. Columns besides the keys must differ in name.
     """
-    a = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    b = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_keys(big, on)
+    if not hot:
+        return big.join(other, on, how)
+    key = F.xxhash64(*on)
+    sizes = F.create_map(*[F.lit(x) for item in hot.items() for x in item])
+    parts = F.when(key.isin(list(hot)), F.try_element_at(sizes, key)).otherwise(F.lit(1))
+    a = big.withColumn("_salt", F.pmod(F.xxhash64(spread), parts).cast("int"))
+    b = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
     return a.join(b, [*on, "_salt"], how).drop("_salt")

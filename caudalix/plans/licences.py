@@ -11,6 +11,7 @@ from caudalix.functions.numbers import as_decimal, as_integer, number
 from caudalix.functions.placeholders import filled
 from caudalix.operators import columns, compare, lookups, measures, quality, records
 from caudalix.operators.parsing import file_name_dates
+from caudalix.operators.skew import salted_join
 from caudalix.plans import sql
 from caudalix.sources.tables import table
 
@@ -72,14 +73,14 @@ def version_identity(spark, folder):
     lic = table(spark, folder, "licenses", "lic_id", "file_name", "estabelecimento")
     dates = records.pick(_dated(spark, folder), ["file_name"], [F.col("dg_id")], ["file_name", "inicio", "fim"])
     day = lambda c: F.coalesce(F.date_format(c, "dd-MM-yyyy"), F.lit(""))
-    return lic.join(dates, "file_name", "left").select("lic_id", F.concat_ws("|", X.identity_norm(F.col("estabelecimento")), day("inicio"), day("fim")).alias("id_versao"))
+    return salted_join(lic, dates, ["file_name"], "lic_id").select("lic_id", F.concat_ws("|", X.identity_norm(F.col("estabelecimento")), day("inicio"), day("fim")).alias("id_versao"))
 
 
 def _versions(spark: SparkSession, folder: str) -> DataFrame:
     """Licences with the dates of their document: lic_id, codmaximo, tua_lurh, n_tua, inicio, fim."""
     lic = table(spark, folder, "licenses", "lic_id", "file_name", "codmaximo", "tua_lurh", "n_tua", "loaded_at")
     dates = records.pick(_dated(spark, folder), ["file_name"], [F.col("dg_id")], ["file_name", "inicio", "fim"])
-    return lic.join(dates, "file_name", "left")
+    return salted_join(lic, dates, ["file_name"], "lic_id")
 
 
 _VERSIONS = f"""{_DATED}, first_dates AS (SELECT file_name, inicio, fim FROM dated QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY dg_id) = 1),
@@ -105,9 +106,7 @@ def number_to_version_fill(spark, folder):
     v = records.versions(_versions(spark, folder), "codmaximo", F.col("inicio"), "lic_id").where("n_tua is not null")
     best = records.pick_last(v, ["n_tua"], [(F.col("vigencia") == "Atual"), F.col("lic_id")], ["n_tua", "file_name"]).withColumnRenamed("file_name", "_f")
     rows = table(spark, folder, "conditions", "cond_id", "file_name", "n_tua")
-    # The number side is unique and the collective licence's number is hot: spread it.
-    from caudalix.operators.skew import salted_join
-
+    # The number side is unique and the collective licence's number is hot.
     joined = salted_join(rows, best, ["n_tua"], "cond_id")
     own = F.nullif(F.col("file_name"), F.lit(""))
     return joined.select("cond_id", F.coalesce(own, "_f", F.lit("")).alias("versao"), F.coalesce("_f", F.lit("")).alias("versao_atual"))

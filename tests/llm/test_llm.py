@@ -157,6 +157,33 @@ def test_linkage_compares_slips_beside_place_or_company(spark):
         assert x & y, (a, b)
 
 
+def test_linkage_tells_missing_attributes_apart(spark):
+    """Place and parish swapped, the other missing: two descriptions, whichever records stand beside them."""
+    fields = "name string, place string, parish string, company string"
+    plants = [(f"E{i}", f"ETAR de Velanorib{x}la", p, q, "K", None, None) for i, (x, p, q) in enumerate([("e", "Tomar", "Abrantes"), ("e", "Leiria", "Tomar")])]
+    registry = spark.createDataFrame(plants + [(f"F{i}", f"ETAR de Outra{i}", "Tomar", "Leiria", "K", None, None) for i in range(8)], f"reg_id string, {fields}, lat double, lon double")
+    records = [(1, "ETAR de Velanoribela", "Tomar", None, None, None, None), (2, "ETAR de Velanoribela", None, "Tomar", None, None, None)]
+    schema = f"rec_id long, {fields}, lat string, lon string"
+    both = {r["rec_id"]: (r["reg_id"], r["confianca"]) for r in linkage.link(spark.createDataFrame(records, schema), registry, 0.0).collect()}
+    alone = {r["rec_id"]: r["reg_id"] for x in records for r in linkage.link(spark.createDataFrame([x], schema), registry, 0.0).collect()}
+    assert {k: v[0] for k, v in both.items()} == alone == {1: "E0", 2: "E1"}
+
+
+def test_linkage_by_place_where_the_name_is_the_parish(spark):
+    fields = "name string, place string, parish string, company string"
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice(["ba", "co", "di", "fu", "ga", "le", "mo", "nu"]) for _ in range(5))
+    plants = [(f"E{i}", f"ETAR de {word()}", f"C{i % 5}", f"Freguesia {word()}", f"K{i % 3}", 38 + 0.02 * i, -8.0) for i in range(60)]
+    registry = spark.createDataFrame(plants, f"reg_id string, {fields}, lat double, lon double")
+    records = [(i, p[1], p[2], p[3], p[4], str(p[5]), str(p[6])) for i, p in enumerate(plants)]
+    records += [(100 + i, f"ETAR municipal de {p[3]}", p[2], p[3], p[4], str(p[5] + 0.0003), str(p[6])) for i, p in enumerate(plants[:20])]
+    records += [(200, f"ETAR municipal de {plants[0][3]}", "C0", plants[0][3], "K0", "39.9", "-8.9"), (201, "ETAR de Inexistente", "C0", plants[0][3], "K0", str(plants[0][5]), "-8.0")]
+    df = spark.createDataFrame(records, f"rec_id long, {fields}, lat string, lon string")
+    got = {r["rec_id"]: r["reg_id"] for r in linkage.link(df, registry).collect()}
+    assert all(got.get(100 + i) == f"E{i}" for i in range(20))
+    assert not {200, 201} & set(got)
+
+
 def test_linkage_keeps_unlike_names_apart(spark, monkeypatch):
     fields = "name string, place string, parish string, company string"
     registry = spark.createDataFrame([("E1", "ETAR de Velanoribela", "P", "Q", "K", 39.0, -8.0)], f"reg_id string, {fields}, lat double, lon double")

@@ -3,18 +3,21 @@
 A backward character n-gram model is trained on the column itself, per language and column: for the last characters of
 every fragment position it counts how often the text ends there (end of the value, of a sentence, or before a bracket)
 and how often it goes on. A value's final context is compared at the longest length with evidence, one occurrence of its
-own left out; it counts as cut where going on is likelier by the threshold. Open brackets and cut marks are added as
-evidence of their own.
+own left out; it counts as cut where going on is likelier by the threshold. A full stop is a character like others, so a
+note that stops at an abbreviation is told from a whole one. Open brackets and cut marks are added as evidence of their
+own.
 
 Limit: counts are by row, so further copies of one cut text count as ends of it. Where they are many beside the rows
 that go on there (from about a quarter of all copies of a sentence), all of them are called whole.
 
-Counts cover all rows. Values are first reduced to distinct fragments (sentences) with their numbers, so repeated text
-is counted once, and contexts are counted with map-side combine.
+Counts cover all rows. Values are first reduced to distinct texts with figures as one digit, and these to distinct
+sentences, so repeated text is counted once. Only contexts that some value ends in are asked for: all others are dropped
+before anything is shuffled, and contexts travel as 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 
 from caudalix.functions.fold import plain
 from caudalix.functions.placeholders import BLANKS, filled
+from caudalix.operators.prefilter import bitmap, maybe_in
 from caudalix.operators.skew import salted_join
 from caudalix.session import cut
 
@@ -47,19 +51,15 @@ class Field:
 #: A parameter's name is complete in front of a bracket, dash, comma, star or full stop, its unit at the bracket's end
 #: or in front of a substance (a bracket left open counts by itself); a note is complete at its sentence's end.
 PARAMETER = r"\s*[(\[*,.;:)\]]|[A-Z]?\d[)\]]|\s+-\s|\s[A-Z][A-Za-z0-9]{0,3}(?:[)\]]|$)"
-SENTENCE = r"[.!?](?:\s|$)"
+SENTENCE = r"[.!?](?:\s+[^\p{Ll}\d\s]|$)"
+# Where sentences are set apart: a stop in front of a small letter or a figure may belong to an abbreviation.
+_BETWEEN = r"(?<=[.!?])\s+(?=[^\p{Ll}\d\s])"
 
 
 def _stripped(c: Column) -> Column:
     return F.rtrim(F.regexp_replace(c, _MARK, ""), F.lit(BLANKS))
 
 
-def _fragment(c: Column, sentences: bool) -> Column:
-    """The text since the last sentence end, numbers as one digit, with a start mark."""
-    last = F.element_at(F.split(c, r"(?<=[.!?])\s+(?=\S)"), -1) if sentences else c
-    return F.concat(F.lit(_START), F.regexp_replace(last, r"\d+", "0"))
-
-
 def _open_bracket(c: Column) -> Column:
     opened = F.regexp_count(c, F.lit(r"[(\[]"))
     return (opened > F.regexp_count(c, F.lit(r"[)\]]"))) | c.rlike(r"[(\[][^)\]]*$")
@@ -76,87 +76,77 @@ def _cells(df: DataFrame, row_id: str, fields: tuple[Field, ...], lang: Column |
     return df.select(*kept, F.inline(each)).where(filled(F.col("value")))
 
 
-def distinct_values(cells: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    """lang, campo, value, n (rows), stripped, fragment, marked, open: everything is worked out once per distinct text,
-    and written once, as the model and the verdicts both start from it."""
-    sentences = [f.name for f in fields if f.sentences]
-    counted = cells.groupBy("lang", "campo", "value").agg(F.count("*").alias("n"))
+def _texts(cells: DataFrame) -> DataFrame:
+    """``cells`` with text (the value in plain characters, without cut mark, figures as one digit), marked, and key (a
+    hash of what a verdict depends on)."""
     # Few values have a character beyond Latin-1; only those are mapped to plain ones.
     value = F.col("value")
     mapped = F.when(value.rlike(r"[^\x00-\xff]|[\xa0\xad]"), plain(value)).otherwise(value)
-    stripped = counted.withColumn("stripped", _stripped(mapped)).where("stripped <> ''")
-    return cut(
-        stripped.select(
-            "lang",
-            "campo",
-            "value",
-            "n",
-            "stripped",
-            F.when(F.col("campo").isin(sentences), _fragment(F.col("stripped"), True)).otherwise(_fragment(F.col("stripped"), False)).alias("fragment"),
-            F.col("value").rlike(_MARK).alias("marked"),
-            _open_bracket(F.col("stripped")).alias("open"),
-        )
-    )
+    read = cells.withColumn("text", F.regexp_replace(_stripped(mapped), r"\d+", "0")).withColumn("marked", value.rlike(_MARK))
+    return read.where("text <> ''").withColumn("key", F.xxhash64("lang", "campo", "text", "marked"))
+
+
+def kinds_of(cells: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    """key, lang, campo, text, marked, n (rows), pieces (its fragments, from a start mark on), final (hash of the last
+    one) of every distinct text, written once, as the model and the verdicts both start from it."""
+    sentences = F.col("campo").isin([f.name for f in fields if f.sentences])
+    pieces = F.transform(F.when(sentences, F.split("text", _BETWEEN)).otherwise(F.array("text")), lambda x: F.concat(F.lit(_START), x))
+    counted = _texts(cells).groupBy("key", "lang", "campo", "text", "marked").agg(F.count("*").alias("n")).withColumn("pieces", pieces)
+    return cut(counted.withColumn("final", F.xxhash64("lang", "campo", F.element_at("pieces", -1))))
+
 
+def _contexts(head: str, orders: tuple[int, ...]) -> Column:
+    """array<struct<k, c>> of the ends of ``head``, c as a hash: one of each length, and short heads as a whole."""
+    hashed = lambda text: F.xxhash64("lang", "campo", text)
+    ends = [F.when(F.length(head) >= k, F.struct(F.lit(k).alias("k"), hashed(F.expr(f"right({head}, {k})")).alias("c"))) for k in orders]
+    whole = F.when(F.length(head) <= max(orders), F.struct(F.lit(1000).alias("k"), hashed(F.concat(F.lit(_START), F.col(head))).alias("c")))
+    return F.array_compact(F.array(*ends, whole))
 
-def train(values: DataFrame, fields: tuple[Field, ...], orders: tuple[int, ...] = ORDERS) -> DataFrame:
-    """The model: lang, campo, k, context -> ends, goes_on (row-weighted counts over all values)."""
+
+def asked_contexts(kinds: DataFrame, orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """final, k, c: the contexts that the distinct last fragments end in."""
+    finals = kinds.groupBy("final", "lang", "campo").agg(F.first(F.element_at("pieces", -1)).alias("head"))
+    return finals.select("final", F.explode(_contexts("head", orders)).alias("x")).select("final", "x.k", "x.c")
+
+
+def train(kinds: DataFrame, asked: DataFrame, fields: tuple[Field, ...], orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """The model: k, c -> ends, goes_on (row-weighted counts over all values) of the contexts asked for."""
     rest = F.expr("substring(t, at + 1)")
     ends_here = F.lit(False)
-    sentences = F.lit(False)
     for f in fields:
         ends_here = F.when(F.col("campo") == f.name, rest.rlike(f"^(?:{f.boundary})")).otherwise(ends_here)
-        sentences = F.when(F.col("campo") == f.name, F.lit(f.sentences)).otherwise(sentences)
-    pieces = F.when(sentences, F.split("stripped", r"(?<=[.!?])\s+(?=\S)")).otherwise(F.array("stripped"))
-    fragments = (
-        values.select("lang", "campo", "n", F.explode(pieces).alias("piece"))
-        .select("lang", "campo", "n", F.concat(F.lit(_START), F.regexp_replace("piece", r"\d+", "0")).alias("t"))
-        .groupBy("lang", "campo", "t")
-        .agg(F.sum("n").alias("n"))
-    )
+    fragments = kinds.select("lang", "campo", "n", F.explode("pieces").alias("t")).groupBy("lang", "campo", "t").agg(F.sum("n").alias("n"))
     # Short as they are, the fragments grow to a row per character and order: spread them before that.
-    fragments = fragments.repartition(_tasks(values))
+    fragments = fragments.repartition(_tasks(kinds))
     at = fragments.select("lang", "campo", "t", "n", F.explode(F.sequence(F.lit(2), F.length("t"))).alias("at"))
     at = at.select("lang", "campo", "n", F.expr("substring(t, 1, at)").alias("head"), ((rest == "") | ends_here).alias("end"))
-    contexts = F.array(*[F.when(F.length("head") >= k, F.struct(F.lit(k).alias("k"), F.expr(f"right(head, {k})").alias("c"))) for k in orders])
-    whole = F.struct(F.lit(1000).alias("k"), F.col("head").alias("c"))
-    shorter = F.when(F.length("head") <= max(orders), whole)
-    return (
-        at.select("lang", "campo", "n", "end", F.explode(F.array_compact(F.array_append(contexts, shorter))).alias("x"))
-        .groupBy("lang", "campo", "x.k", "x.c")
-        .agg(F.sum(F.when(F.col("end"), F.col("n")).otherwise(0)).alias("ends"), F.sum(F.when(F.col("end"), 0).otherwise(F.col("n"))).alias("goes_on"))
-    )
+    met = maybe_in(at.select("n", "end", F.explode(_contexts("head", orders)).alias("x")).select("n", "end", "x.k", "x.c"), "c", bitmap(asked, "c"))
+    ends = F.sum(F.when(F.col("end"), F.col("n")).otherwise(0))
+    return met.groupBy("k", "c").agg(ends.alias("ends"), F.sum(F.when(F.col("end"), 0).otherwise(F.col("n"))).alias("goes_on"))
 
 
 def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def verdicts(values: DataFrame, fields: tuple[Field, ...], complete: list[str] | None = None, orders: tuple[int, ...] = ORDERS) -> DataFrame:
-    """lang, campo, value, log_odds, cut for every distinct value."""
-    model = train(values, fields, orders)
-    finals = values.select("lang", "campo", "fragment").distinct()
-    tails = F.array(*[F.when(F.length("fragment") >= k, F.struct(F.lit(k).alias("k"), F.expr(f"right(fragment, {k})").alias("c"))) for k in orders])
-    whole = F.when(F.length("fragment") <= max(orders), F.struct(F.lit(1000).alias("k"), F.col("fragment").alias("c")))
-    asked = finals.select("lang", "campo", "fragment", F.explode(F.array_compact(F.array_append(tails, whole))).alias("x")).select(
-        "lang", "campo", "fragment", "x.k", "x.c"
-    )
+def verdicts(kinds: DataFrame, fields: tuple[Field, ...], complete: list[str] | None = None, orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """key, lang, campo, text, marked, log_odds, cut for every distinct text."""
+    asked = asked_contexts(kinds, orders)
     # One end of the value's own is left out of its evidence; those of its copies are not.
-    seen = asked.join(model, ["lang", "campo", "k", "c"]).withColumn("ends", F.col("ends") - 1).where("ends + goes_on > 0")
-    best = seen.groupBy("lang", "campo", "fragment").agg(F.max_by(F.struct("k", "ends", "goes_on"), "k").alias("m"))
-    odds = best.select("lang", "campo", "fragment", F.log((F.col("m.goes_on") + 0.5) / (F.col("m.ends") + 0.5)).alias("odds"))
-    known = F.lower("stripped").isin(complete) if complete else F.lit(False)
-    evidence = F.coalesce(F.col("odds"), F.lit(0.0)) + F.when(F.col("open"), 20.0).otherwise(0.0) + F.when(F.col("marked"), 10.0).otherwise(0.0)
-    ends_well = F.col("stripped").rlike(r"[.!?]$") & ~F.col("open") & ~F.col("marked") & F.col("campo").isin([f.name for f in fields if f.sentences])
-    log_odds = F.when((known & ~F.col("marked")) | ends_well, -20.0).otherwise(evidence)
+    seen = asked.join(train(kinds, asked, fields, orders), ["k", "c"]).withColumn("ends", F.col("ends") - 1).where("ends + goes_on > 0")
+    best = seen.groupBy("final").agg(F.max_by(F.struct("ends", "goes_on"), "k").alias("m"))
+    odds = best.select("final", F.log((F.col("m.goes_on") + 0.5) / (F.col("m.ends") + 0.5)).alias("odds"))
+    known = F.lower("text").isin(sorted({re.sub(r"\d+", "0", c) for c in complete})) if complete else F.lit(False)
+    evidence = F.coalesce(F.col("odds"), F.lit(0.0)) + F.when(_open_bracket(F.col("text")), 20.0).otherwise(0.0) + F.when(F.col("marked"), 10.0).otherwise(0.0)
+    log_odds = F.when(known & ~F.col("marked"), -20.0).otherwise(evidence)
     threshold = F.lit(0.0)
     for f in fields:
         limit = F.lit(f.threshold)
         for language, own in f.thresholds:
             limit = F.when(F.col("lang") == language, own).otherwise(limit)
         threshold = F.when(F.col("campo") == f.name, limit).otherwise(threshold)
-    judged = salted_join(values, odds, ["lang", "campo", "fragment"], "value").withColumn("log_odds", log_odds)
-    return judged.select("lang", "campo", "value", "n", "log_odds", (F.col("log_odds") > threshold).alias("cut"))
+    judged = salted_join(kinds.drop("pieces", "n"), odds, ["final"], "key").withColumn("log_odds", log_odds)
+    return judged.select("key", "lang", "campo", "text", "marked", "log_odds", (F.col("log_odds") > threshold).alias("cut"))
 
 
 def judge(
@@ -171,15 +161,17 @@ def judge(
 ) -> DataFrame:
     """Every filled value with its log-odds of being cut: row_id, campo, source, lang, value, log_odds, cut.
 
-    ``complete`` holds texts known to be whole (lower case), which are never cut; ``only_cut`` gives the rows of cut
-    values alone. Nulls, empty texts and placeholders give no row; repeated rows count each for themselves. Without
-    rows there is no model and no result. A context never seen elsewhere, at any length, gives log-odds of 0 and no
-    cut, unless a bracket is open or a mark stands after the text.
+    ``complete`` holds texts known to be whole (lower case, figures may differ), which are never cut; ``only_cut`` gives
+    the rows of cut values alone. Nulls, empty texts and placeholders give no row; repeated rows count each for
+    themselves. Without rows there is no model and no result. A context never seen elsewhere, at any length, gives
+    log-odds of 0 and no cut, unless a bracket is open or a mark stands after the text.
     """
     cells = _cells(df, row_id, fields, lang, source)
-    found = verdicts(distinct_values(cells, fields), fields, complete, orders).drop("n")
+    found = verdicts(kinds_of(cells, fields), fields, complete, orders)
+    rows = _texts(cells)
     if only_cut:
         found = found.where("cut")
-    return salted_join(cells, found, ["lang", "campo", "value"], "id", "inner").select(
+        rows = maybe_in(rows, "key", bitmap(found, "key"))
+    return salted_join(rows, found, ["key", "lang", "campo", "text", "marked"], "id", "inner").select(
         F.col("id").alias(row_id), "campo", "source", "lang", "value", "log_odds", "cut"
     )

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from caudalix.functions.fold import plain
 from caudalix.functions.placeholders import BLANKS, filled
 from caudalix.operators.prefilter import bitmap, maybe_in
-from caudalix.operators.skew import salted_join
+from caudalix.operators.skew import hot_counted, salted_join
 from caudalix.session import cut
 
 #: Lengths of the contexts, in characters; the longest with evidence decides.
@@ -82,8 +82,9 @@ def _texts(cells: DataFrame) -> DataFrame:
     # Few values have a character beyond Latin-1; only those are mapped to plain ones.
     value = F.col("value")
     mapped = F.when(value.rlike(r"[^\x00-\xff]|[\xa0\xad]"), plain(value)).otherwise(value)
-    read = cells.withColumn("text", F.regexp_replace(_stripped(mapped), r"\d+", "0")).withColumn("marked", value.rlike(_MARK))
-    return read.where("text <> ''").withColumn("key", F.xxhash64("lang", "campo", "text", "marked"))
+    # A row of one array, so that the optimizer does not copy the reading to each use of the text.
+    read = cells.withColumn("text", F.explode(F.array(F.regexp_replace(_stripped(mapped), r"\d+", "0"))))
+    return read.where("text <> ''").withColumn("marked", value.rlike(_MARK)).withColumn("key", F.xxhash64("lang", "campo", "text", "marked"))
 
 
 def kinds_of(cells: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
@@ -167,11 +168,13 @@ def judge(
     log-odds of 0 and no cut, unless a bracket is open or a mark stands after the text.
     """
     cells = _cells(df, row_id, fields, lang, source)
-    found = verdicts(kinds_of(cells, fields), fields, complete, orders)
+    kinds = kinds_of(cells, fields)
+    found = verdicts(kinds, fields, complete, orders)
     rows = _texts(cells)
     if only_cut:
         found = found.where("cut")
         rows = maybe_in(rows, "key", bitmap(found, "key"))
-    return salted_join(rows, found, ["key", "lang", "campo", "text", "marked"], "id", "inner").select(
+    on = ["key", "lang", "campo", "text", "marked"]
+    return salted_join(rows, found, on, "id", "inner", hot_counted(kinds, on, "n")).select(
         F.col("id").alias(row_id), "campo", "source", "lang", "value", "log_odds", "cut"
     )

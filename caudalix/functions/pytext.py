@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterable
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 
@@ -78,6 +79,52 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
+class NearKeys:
+    """A fixed set of keys, searched by start and by small slips without comparing all of them.
+
+    A key is cut into more pieces than its ``edits`` can touch (a swap of neighbours may touch two), so a text within
+    that distance holds one of them unchanged and nearly in its place.
+    """
+
+    def __init__(self, keys: Iterable[str], edits: Callable[[str], int]):
+        self.keys = sorted(set(keys))
+        self.edits = edits
+        self.pieces: dict[tuple[int, int, str], list[str]] = {}
+        self.cuts: dict[int, set[int]] = {}
+        for key in self.keys:
+            count = 2 * edits(key) + 1
+            self.cuts.setdefault(len(key), set()).add(count)
+            for start, end in self._ends(len(key), count):
+                self.pieces.setdefault((len(key), start, key[start:end]), []).append(key)
+        self.most = max(map(edits, self.keys), default=0)
+
+    @staticmethod
+    def _ends(length: int, count: int) -> Iterator[tuple[int, int]]:
+        bounds = [i * length // count for i in range(count + 1)]
+        return ((a, b) for a, b in zip(bounds, bounds[1:]) if a < b)
+
+    def begun_by(self, text: str) -> Iterator[str]:
+        """The keys that start with ``text``."""
+        for i in range(bisect_left(self.keys, text), len(self.keys)):
+            if not self.keys[i].startswith(text):
+                return
+            yield self.keys[i]
+
+    def near(self, text: str) -> Iterator[tuple[str, int]]:
+        """The keys within their edits of ``text``, with the distance."""
+        seen: set[str] = set()
+        for length in range(max(1, len(text) - self.most), len(text) + self.most + 1):
+            for count in self.cuts.get(length, ()):
+                shift = count // 2
+                for start, end in self._ends(length, count):
+                    for at in range(max(0, start - shift), min(start + shift, len(text) - end + start) + 1):
+                        seen.update(self.pieces.get((length, start, text[at : at + end - start]), ()))
+        for key in sorted(seen):
+            limit = self.edits(key)
+            if (d := edit_distance(text, key, limit)) <= limit:
+                yield key, d
+
+
 def words_of(folded: str) -> list[str]:
     """Runs of letters and digits."""
     return re.findall(r"[^\W_]+", folded)

@@ -11,10 +11,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudalix.functions.pytext import edit_distance, fold_text, key_text, words_of
+from caudalix.functions.pytext import NearKeys, fold_text, key_text, words_of
 
-#: A canonical list is a constant of the plan up to this many rows.
-MOST_ROWS = 20_000
+#: A canonical list is a constant of the plan up to this many rows (some 100 MB in each worker); more raise an error.
+MOST_ROWS = 200_000
 
 
 def small_rows(df: DataFrame, most: int = MOST_ROWS) -> list:
@@ -50,8 +50,12 @@ class Lookup:
         for ref, name in self.names:
             self.keys.setdefault(key_text(name), ref)
             self.orders.setdefault(tuple(sorted(words_of(fold_text(name)))), ref)
-        self.words = [(ref, words_of(fold_text(name))) for ref, name in self.names]
-        self.long = [(key, ref) for key, ref in self.keys.items() if len(key) >= 5]
+        self.first: dict[tuple[int, str], list[tuple[int, list[str]]]] = {}
+        for ref, name in self.names:
+            words = words_of(fold_text(name))
+            for size in range(1, len(words[0]) + 1) if words else ():
+                self.first.setdefault((len(words), words[0][:size]), []).append((ref, words))
+        self.long = NearKeys((key for key in self.keys if len(key) >= 5), lambda key: 1 if len(key) <= 7 else 2)
 
     def __call__(self, typed: str | None) -> int | None:
         if not typed or not (key := key_text(typed)):
@@ -61,16 +65,12 @@ class Lookup:
         words = words_of(fold_text(typed))
         if (ref := self.orders.get(tuple(sorted(words)))) is not None:
             return ref
-        if len(key) >= 6 and len(begun := {r for k, r in self.long if k.startswith(key)}) == 1:
+        if len(key) >= 6 and len(begun := {self.keys[k] for k in self.long.begun_by(key)}) == 1:
             return begun.pop()
         if len(words) > 1 and len(key) >= 5:
-            fits = {r for r, w in self.words if len(w) == len(words) and all(a.startswith(b) for a, b in zip(w, words))}
+            fits = {r for r, w in self.first.get((len(words), words[0]), ()) if all(a.startswith(b) for a, b in zip(w, words))}
             if len(fits) == 1:
                 return fits.pop()
-        best, refs = 3, set()
-        for known, ref in self.long:
-            d = edit_distance(key, known, 1 if len(known) <= 7 else 2)
-            if d <= (1 if len(known) <= 7 else 2) and d <= best:
-                refs = {ref} if d < best else refs | {ref}
-                best = d
-        return refs.pop() if len(refs) == 1 else None
+        near = [(d, self.keys[k]) for k, d in self.long.near(key)]
+        best = {ref for d, ref in near if d == min(near)[0]}
+        return best.pop() if len(best) == 1 else None

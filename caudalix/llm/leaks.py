@@ -1,9 +1,10 @@
 """Evaluation passages inside training text, by an FM-index per shard of the corpus.
 
-A shard is a run of documents of one partition, as a sequence of word numbers (words outside the passages share one
-number, documents are set apart by a separator). Its suffix array gives the Burrows-Wheeler transform, which is kept in
-a wavelet matrix. All test phrases (runs of ``least`` words) are searched backward at once, occurrences are located by
-walking to sampled suffix positions, and the spans of one passage in one document are merged. Only the passages travel;
+A shard is a run of documents of one partition, as a sequence of word numbers. A phrase has only words of the passages,
+so of a document only the runs of ``least`` and more such words are kept, set apart by a separator, with their places.
+The shard's suffix array gives the Burrows-Wheeler transform, which is kept in a wavelet matrix. All test phrases (the
+windows of ``least`` words of the passages) are searched backward at once, occurrences are located by walking to sampled
+suffix positions, and the spans of one passage in one document are merged. Only the passages travel, as word numbers;
 documents are read once and nothing is shuffled.
 """
 
@@ -11,7 +12,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,8 +23,11 @@ from pyspark.sql import functions as F
 
 #: Words of a shard, and every how many positions the suffix array is kept.
 SHARD_WORDS, SAMPLE = 1 << 17, 8
-#: Passages are searched in blocks of so many; each block is one constant of the plan.
-BLOCK_ITEMS = 20_000
+#: Passages are a constant of the plan up to so many words (64 MB as numbers, some 100,000 passages); more of them are
+#: searched in further blocks, each with a pass over the documents.
+BLOCK_WORDS = 1 << 24
+#: Phrases searched at once in a shard.
+SEARCHED = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -87,7 +93,7 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Backward search over one shard. Symbol 0 is the end, 1 the separator, 2 any other word."""
+    """Backward search over one shard. Symbol 0 is the end, 1 the separator."""
 
     def __init__(self, s: np.ndarray, alphabet: int, sample: int = SAMPLE):
         s = np.append(s, 0)
@@ -130,53 +136,61 @@ class FMIndex:
         return out
 
 
-def phrase_table(items: list[tuple[int, str]], least: int) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
-    """word -> symbol (from 3), the distinct phrases of ``least`` words, and for each which items hold it
-    (owners of phrase i are owner[first[i]:first[i+1]]). Passages shorter than ``least`` words have no phrase."""
-    symbols: dict[str, int] = {}
-    seen: dict[tuple[int, ...], list[int]] = {}
-    for item, text in items:
-        ids = [symbols.setdefault(w, len(symbols) + 3) for w in words(text)]
-        for i in range(len(ids) - least + 1):
-            owners = seen.setdefault(tuple(ids[i : i + least]), [])
-            if not owners or owners[-1] != item:
-                owners.append(item)
-    phrases = np.array(list(seen), np.int64).reshape(len(seen), least)
-    first = np.concatenate([[0], np.cumsum([len(x) for x in seen.values()])]).astype(np.int64)
-    owner = np.array([x for owners in seen.values() for x in owners], np.int64)
-    return symbols, phrases, first, owner
+class Passages:
+    """Test passages as word numbers, one after the other."""
 
+    def __init__(self):
+        self.symbols: dict[str, int] = {}
+        self.items: list[int] = []
+        self.ids, self.ends = array("i"), array("q")
 
-def _finder(items: list[tuple[int, str]], least: int, shard_words: int):
-    symbols, phrases, first, owner = phrase_table(items, least)
+    def add(self, item: int, text: str) -> None:
+        self.items.append(item)
+        self.ids.extend([self.symbols.setdefault(w, len(self.symbols) + 2) for w in words(text)])
+        self.ends.append(len(self.ids))
+
+    def phrases(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All words, where the windows of ``least`` words start that lie in one passage, and each one's passage."""
+        ids, ends = np.frombuffer(self.ids, np.int32) if self.ids else np.zeros(0, np.int32), np.frombuffer(self.ends, np.int64)
+        owner = np.searchsorted(ends, np.arange(len(ids)), side="right")
+        inside = np.arange(len(ids)) + least <= ends[owner]
+        return ids, np.flatnonzero(inside), owner[inside]
+
+
+def known_runs(ids: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Start and end of the runs of ``least`` and more known words (numbers above 0)."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], ids > 0, [0]]).astype(np.int8)))
+    return [(a, b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) if b - a >= least]
+
+
+def _finder(passages: Passages, least: int, shard_words: int):
+    symbols = passages.symbols
 
     def search_shard(docs: list[tuple[int, int, np.ndarray]]) -> pd.DataFrame:
         """docs: (document, word offset of this part, word numbers)."""
+        words_, windows, owner = passages.phrases(least)
+        items = np.array(passages.items, np.int64)
         starts = np.cumsum([0, *[len(d[2]) + 1 for d in docs]])
         s = np.ones(starts[-1], np.int64)
         for (_, _, ids), at in zip(docs, starts):
             s[at : at + len(ids)] = ids
-        index = FMIndex(s, len(symbols) + 3)
-        low, high = index.search(phrases)
-        counts = high - low
-        found = np.flatnonzero(counts)
-        if not len(found):
-            return pd.DataFrame({"id": [], "item": [], "start": []})
-        c = counts[found]
-        inside = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-        at = index.locate(np.repeat(low[found], c) + inside)
-        phrase = np.repeat(found, c)
-        doc = np.searchsorted(starts, at, side="right") - 1
-        owners = first[phrase + 1] - first[phrase]
-        nth = np.arange(owners.sum()) - np.repeat(np.cumsum(owners) - owners, owners)
+        index = FMIndex(s, len(symbols) + 2)
         ids, offsets = np.array([d[0] for d in docs], object), np.array([d[1] for d in docs], np.int64)
-        return pd.DataFrame(
-            {
-                "id": np.repeat(ids[doc], owners),
-                "item": owner[np.repeat(first[phrase], owners) + nth],
-                "start": np.repeat(at - starts[doc] + offsets[doc], owners),
-            }
-        )
+        out = [pd.DataFrame({"id": [], "item": [], "start": []})]
+        for block in range(0, len(windows), SEARCHED):
+            begin = windows[block : block + SEARCHED]
+            low, high = index.search(words_[begin[:, None] + np.arange(least)].astype(np.int64))
+            counts = high - low
+            found = np.flatnonzero(counts)
+            if not len(found):
+                continue
+            c = counts[found]
+            inside = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+            at = index.locate(np.repeat(low[found], c) + inside)
+            doc = np.searchsorted(starts, at, side="right") - 1
+            item = items[owner[block + np.repeat(found, c)]]
+            out.append(pd.DataFrame({"id": ids[doc], "item": item, "start": at - starts[doc] + offsets[doc]}))
+        return pd.concat(out[1:] or out)
 
     def merged(hits: list[pd.DataFrame]) -> pd.DataFrame:
         all_ = pd.concat(hits).drop_duplicates().sort_values(["id", "item", "start"])
@@ -193,19 +207,20 @@ def _finder(items: list[tuple[int, str]], least: int, shard_words: int):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard: list[tuple[int, int, np.ndarray]] = []
         size, hits = 0, []
+        known = symbols.get
         for batch in batches:
             for doc, text in zip(batch["id"], batch["text"]):
-                ids = np.fromiter((symbols.get(w, 2) for w in words(text)), np.int64)
-                if len(ids) < least or not len(phrases):
-                    continue
-                # Parts of a document longer than a shard overlap by one word less than a phrase.
-                for at in range(0, max(1, len(ids) - least + 1), shard_words):
-                    part = ids[at : at + shard_words + least - 1]
-                    shard.append((doc, at, part))
-                    size += len(part) + 1
-                    if size >= shard_words:
-                        hits.append(search_shard(shard))
-                        shard, size = [], 0
+                found = words(text)
+                ids = np.fromiter((known(w, 0) for w in found), np.int64, len(found))
+                for first, last in known_runs(ids, least):
+                    # Parts of a run longer than a shard overlap by one word less than a phrase.
+                    for at in range(first, max(first + 1, last - least + 1), shard_words):
+                        part = ids[at : min(last, at + shard_words + least - 1)]
+                        shard.append((doc, at, part))
+                        size += len(part) + 1
+                        if size >= shard_words:
+                            hits.append(search_shard(shard))
+                            shard, size = [], 0
                 if not shard and hits:  # a document has ended together with its shard
                     yield merged(hits)
                     hits = []
@@ -230,15 +245,12 @@ def spans(
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.length("text") > 2 * least - 2)
     schema = f"id {id_type}, item long, first_word long, last_word long"
-    out = None
-    block: list[tuple[int, str]] = []
+    blocks = [Passages()]
     known = items.select(F.col(item_id).cast("long"), item_text).where(f"{item_text} is not null").toLocalIterator()
     for item, passage in known:
-        block.append((item, passage))
-        if len(block) == BLOCK_ITEMS:
-            found = rows.mapInPandas(_finder(block, least, shard_words), schema)
-            out, block = found if out is None else out.unionByName(found), []
-    if block or out is None:
-        found = rows.mapInPandas(_finder(block, least, shard_words), schema)
-        out = found if out is None else out.unionByName(found)
+        if len(blocks[-1].ids) >= BLOCK_WORDS:
+            blocks.append(Passages())
+        blocks[-1].add(item, passage)
+    found = [rows.mapInPandas(_finder(block, least, shard_words), schema) for block in blocks]
+    out = reduce(DataFrame.unionByName, found)
     return out.select(F.col("id").alias(doc_id), F.col("item").alias(item_id), "first_word", "last_word")

@@ -14,35 +14,35 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caudalix.functions.fold import FULL_WIDTH, HYPHENS, IGNORABLE, LOOK_ALIKES, ODD_BLANKS
 from caudalix.functions.placeholders import filled
 from caudalix.functions.pytext import per_distinct, plain_text
 
 # Signs whose compatibility form differs but which are usual where they stand.
 SIGNS = set("ºª²³¹µ°…½¼¾™´¨¸¯ ")
-_INVISIBLE = re.compile(f"[{IGNORABLE}]")
-_ODD = set(ODD_BLANKS + HYPHENS) | set(FULL_WIDTH) | (set(LOOK_ALIKES) - set("αβ"))
 #: Alpha and beta are usual in front of, or after, a substance's name, set off by a hyphen or blank.
-_GREEK_IN_WORD = re.compile(r"[A-Za-zÀ-ÿ][αβ]|[αβ][A-Za-zÀ-ÿ]")
-_ORDINAL_IN_WORD = re.compile(r"[a-zà-ÿ]{2}[ºª][a-zà-ÿ]|[^\W\d_][ºª][a-zà-ÿ]{2}")
+_BETA_IN_WORD = re.compile(r"(?<=[A-Za-zÀ-ÿ])β|β(?=[A-Za-zÀ-ÿ])")
+_ORDINAL_IN_WORD = re.compile(r"(?<=[a-zà-ÿ]{2})[ºª](?=[a-zà-ÿ])|(?<=[^\W\d_])[ºª](?=[a-zà-ÿ]{2})")
 _DASH_IN_WORD = re.compile(r"(?<=[^\W\d_])[–—](?=[^\W\d_])")
 
 
+def usual(s: str) -> str:
+    """``s`` as it is usually written: compatibility-normalised, composed, and in plain letters, hyphens and blanks,
+    without invisible characters; signs in their usual place, case and the number of blanks stay."""
+    s = _DASH_IN_WORD.sub("-", _BETA_IN_WORD.sub("ß", plain_text(s)))
+    s = _ORDINAL_IN_WORD.sub(lambda m: "o" if m[0] == "º" else "a", s)
+    if not s.isascii():
+        s = "".join(c if c in SIGNS or ord(c) < 0x100 else unicodedata.normalize("NFKC", c) for c in s)
+    return unicodedata.normalize("NFC", s)
+
+
 def is_disguised(s: str) -> bool:
     """Whether ``s`` has a character or sequence that a reader takes for the usual spelling but that is not it."""
-    if _INVISIBLE.search(s) or unicodedata.normalize("NFC", s) != s:
-        return True
-    for c in s:
-        if c in _ODD or unicodedata.combining(c):
-            return True
-        if c not in SIGNS and ord(c) > 0xFF and unicodedata.normalize("NFKC", c) != c:
-            return True
-    return bool(_GREEK_IN_WORD.search(s) or _ORDINAL_IN_WORD.search(s) or _DASH_IN_WORD.search(s))
+    return usual(s) != s
 
 
 def one_form(s: str) -> str:
-    """The form in which equal-looking texts are equal."""
-    s = unicodedata.normalize("NFKC", _DASH_IN_WORD.sub("-", plain_text(s))).casefold()
+    """The form in which equal-looking texts are equal: the usual one without signs, case and repeated blanks."""
+    s = unicodedata.normalize("NFKC", usual(s)).casefold()
     return " ".join(unicodedata.normalize("NFC", s).split())
 
 
@@ -57,7 +57,7 @@ def form(c: Column) -> Column:
 
 
 def disguised(c: Column) -> Column:
-    """Whether each value is written with other characters than the usual ones; null gives false."""
+    """Whether each value differs from its usual form; null gives false."""
 
     @F.pandas_udf("boolean")
     def judged(values: pd.Series) -> pd.Series:

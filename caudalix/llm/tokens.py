@@ -1,9 +1,10 @@
 """Encoding a corpus with a public byte-level BPE tokenizer.
 
-A text up to ``chunk`` characters is encoded at once. A longer one is pre-tokenised in overlapping chunks that are rows
-of their own, so they run in parallel; a chunk's boundaries are right from the first one on that the chunk before it
-shares in the overlap (a pre-token depends only on the text after its start). The stitched text is cut at such shared
-boundaries into pieces, which are encoded in parallel and put together in order. The ids are the same either way.
+A text is pre-tokenised in overlapping chunks; a chunk's boundaries are right from the first one on that the chunk before
+it shares in the overlap (a pre-token depends only on the text after its start). The stitched text is cut at such shared
+boundaries into pieces, which are encoded and put together in order. Texts of one chunk (``part`` characters) are one
+piece; the chunks of longer ones stay in their task, where documents run in parallel anyway, and only those of texts
+beyond ``chunk`` characters become rows of their own. The ids are the same either way.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Fixed value: the pre-token pattern published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters a text may have before it is encoded in chunks, and by which chunks overlap.
+#: Characters a text may have before its chunks become rows of their own, and by which those overlap.
 CHUNK, OVERLAP = 1 << 18, 1 << 12
+#: The same for chunks inside a task.
+PART, PART_OVERLAP = 1 << 11, 1 << 7
 
 
 @lru_cache(maxsize=2)
@@ -69,11 +72,19 @@ def stitch(chunks: list[tuple[int, str]], bounds: list[list[int]]) -> list[str]:
     return [p for p in pieces if p]
 
 
-def _encoder(path: str):
+def pieces_of(text: str, part: int, overlap: int) -> list[str]:
+    """The pieces of a text by its overlapping chunks of ``part`` characters; a text of one chunk is one piece."""
+    if len(text) <= part:
+        return [text]
+    chunks = [(at, text[at : at + part + overlap]) for at in range(0, len(text), part)]
+    return stitch(chunks, [starts(c) for _, c in chunks])
+
+
+def _encoder(path: str, part: int = PART, overlap: int = PART_OVERLAP):
     @F.pandas_udf("array<int>")
     def encode(texts: pd.Series) -> pd.Series:
-        bpe = encoding(path)
-        return pd.Series([bpe.encode_ordinary(t) if t else [] for t in texts], dtype=object)
+        bpe = encoding(path).encode_ordinary
+        return pd.Series([[i for p in pieces_of(t, part, overlap) for i in bpe(p)] if t else [] for t in texts], dtype=object)
 
     return encode
 

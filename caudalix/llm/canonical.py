@@ -2,8 +2,9 @@
 
 A multi-pattern automaton over all canonical names, other names and spellings made by rule finds the names embedded in
 a value; of overlapping mentions the longest wins. What has no mention goes to token-set similarity, where a token may
-match by a small slip or as an abbreviation, and a value that was cut may be the start of a name. Values are worked out
-once per distinct text of a batch; nothing is shuffled.
+match by a small slip or as an abbreviation, and a value that was cut may be the start of a name. Names are compared
+only where they have a word (or, as one word, a piece) like one of the value's, so a long list costs no more than the
+names that resemble a value. Values are worked out once per distinct text of a batch; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from caudalix.functions.pytext import Memo, edit_distance, fold_text, words_of
+from caudalix.functions.pytext import Memo, NearKeys, edit_distance, fold_text, words_of
 
 # Number words up to twelve, folded.
 NUMBERS = ("zero", "uma", "duas", "tres", "quatro", "cinco", "seis", "sete", "oito", "nove", "dez", "onze", "doze")
@@ -124,7 +125,13 @@ class Mapper:
                 self.automaton.add_word(f" {pattern} ", (len(pattern), next(iter(refs))))
         if len(self.automaton):
             self.automaton.make_automaton()
-        self.starts = sorted(k for k in self.whole if len(k) >= 5)
+        self.starts = NearKeys((k for k in self.whole if len(k) >= 5), lambda k: 1 if len(k) < 8 else 2)
+        #: Which names (by their place in ``sets``) have each word.
+        self.having: dict[str, list[int]] = {}
+        for i, (_, tokens) in enumerate(self.sets):
+            for t in set(tokens):
+                self.having.setdefault(t, []).append(i)
+        self.tokens = NearKeys(self.having, _slips)
 
     def __call__(self, typed: str) -> tuple[int, float]:
         folded = _TAIL.sub("", fold_text(_CUT_MARK.sub("", typed)))
@@ -152,21 +159,20 @@ class Mapper:
         return refs.pop() if len(refs) == 1 else None
 
     def similar(self, folded: str, key: str) -> tuple[int, float]:
-        begun = {self.whole[k] for k in self.starts if k.startswith(key)} if len(key) >= 4 else set()
+        begun = {self.whole[k] for k in self.starts.begun_by(key)} if len(key) >= 4 else set()
         if len(begun) == 1:
             return begun.pop(), 0.9
         tokens = [t for t in words_of(folded) if t not in FILLERS]
         if not tokens:
             return 0, 1.0
         best: dict[int, float] = {}
-        for ref, names in self.sets:
+        for i in self.resembling(tokens):
+            ref, names = self.sets[i]
             score = _set_similarity(tokens, names)
             if score > best.get(ref, 0.0):
                 best[ref] = score
-        for k in self.starts:  # a slip in a name typed as one word, or over a blank
-            limit = 1 if len(k) < 8 else 2
-            if (d := edit_distance(key, k, limit)) <= limit:
-                best[self.whole[k]] = max(best.get(self.whole[k], 0.0), 1.0 - d / len(k))
+        for k, d in self.starts.near(key):  # a slip in a name typed as one word, or over a blank
+            best[self.whole[k]] = max(best.get(self.whole[k], 0.0), 1.0 - d / len(k))
         ranked = sorted(best.items(), key=lambda x: -x[1])
         if not ranked or ranked[0][1] < self.least:
             return 0, 1.0 - (ranked[0][1] if ranked else 0.0)
@@ -174,13 +180,28 @@ class Mapper:
             return 0, 0.5
         return ranked[0][0], ranked[0][1]
 
+    def resembling(self, typed: list[str]) -> list[int]:
+        """The names that have a word like one of ``typed``: no other name has a similarity above 0."""
+        like: set[str] = set()
+        for t in set(typed):
+            if len(t) >= 2:
+                like.update(self.tokens.begun_by(t))
+            elif t in self.having:
+                like.add(t)
+            like.update(k for k, _ in self.tokens.near(t))
+        return sorted({i for t in like for i in self.having[t]})
+
+
+def _slips(word: str) -> int:
+    return 0 if len(word) < 4 else 1 if len(word) < 8 else 2
+
 
 def _token_similarity(typed: str, known: str) -> float:
     if typed == known:
         return 1.0
     if len(typed) >= 3 and known.startswith(typed):
         return 0.95
-    limit = 0 if len(known) < 4 else 1 if len(known) < 8 else 2
+    limit = _slips(known)
     d = edit_distance(typed, known, limit)
     if d <= limit:
         return 1.0 - d / max(len(known), len(typed))

@@ -117,26 +117,33 @@ def _entries(spark: SparkSession, folder: str, lista: str) -> list[canonical.Ent
     ]
 
 
+def _listed(ref: DataFrame, name: str, column: str, found: str) -> DataFrame:
+    """The entries of a list by one of their columns: ``name`` and the lowest ref_id as ``found``."""
+    return ref.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(name)).agg(F.min("ref_id").alias(found))
+
+
 def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     """Every filled value that is no entry itself: tabela, row_id, campo, valor, ref_id (0: none), confianca.
 
     Where a parameter's name alone could be several entries (a value cut early), the entry its code names is taken,
     and the other way round.
     """
-    parameters = _entries(spark, folder, "parametro")
-    frequencies = _entries(spark, folder, "frequencia")
-    rows = table(spark, folder, "conditions", "cond_id", "parametro_doc", "parametro")
+    ref = table(spark, folder, "ref_valores", "ref_id", "lista", "valor", "codigo")
+    parameters, frequencies = _entries(spark, folder, "parametro"), _entries(spark, folder, "frequencia")
+    own = ref.where("lista = 'parametro'")
+    rows = table(spark, folder, "conditions", "cond_id", "parametro_doc", "parametro").withColumns(
+        {"doc_name": strip(F.regexp_replace("parametro_doc", r"(?s)\(.*$", "")), "code_name": F.col("parametro")}
+    )
+    # The lists are short; Spark checks their size before it broadcasts them.
+    rows = rows.join(_listed(own, "doc_name", "valor", "exact_doc"), "doc_name", "left").join(_listed(own, "code_name", "codigo", "exact_code"), "code_name", "left")
     doc, code = F.col("parametro_doc"), F.col("parametro")
-    doc_text = strip(F.regexp_replace(doc, r"(?s)\(.*$", ""))
     both = rows.select(
         "cond_id",
-        F.when(filled(doc) & ~F.coalesce(doc_text.isin([e.name for e in parameters]), F.lit(False)), doc).alias("doc"),
-        F.when(filled(code) & ~code.isin([e.code for e in parameters if e.code]), code).alias("code"),
-        doc_text.alias("doc_name"),
-        code.alias("code_name"),
+        F.when(filled(doc) & F.col("exact_doc").isNull(), doc).alias("doc"),
+        F.when(filled(code) & F.col("exact_code").isNull(), code).alias("code"),
+        "exact_doc",
+        "exact_code",
     ).where("doc is not null or code is not null")
-    exact_doc = _exact(F.col("doc_name"), {e.name: e.ref for e in parameters})
-    exact_code = _exact(F.col("code_name"), {e.code: e.ref for e in parameters if e.code})
     named_ = both.withColumn("d", canonical.mapped(F.col("doc"), parameters)).withColumn("c", canonical.mapped(F.col("code"), parameters))
     other = lambda own, exact, mapped_: F.when(
         (own["ref_id"] == 0) & (own["confianca"] == 0.5), F.coalesce(exact, mapped_["ref_id"], F.lit(0))
@@ -147,14 +154,14 @@ def p6_values(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("doc").isNotNull(),
                 F.struct(
                     F.lit("parametro_doc").alias("campo"), F.col("doc").alias("valor"),
-                    other(F.col("d"), exact_code, F.col("c")).cast("bigint").alias("ref_id"), F.col("d.confianca").alias("confianca"),
+                    other(F.col("d"), F.col("exact_code"), F.col("c")).cast("bigint").alias("ref_id"), F.col("d.confianca").alias("confianca"),
                 ),
             ),
             F.when(
                 F.col("code").isNotNull(),
                 F.struct(
                     F.lit("parametro").alias("campo"), F.col("code").alias("valor"),
-                    other(F.col("c"), exact_doc, F.col("d")).cast("bigint").alias("ref_id"), F.col("c.confianca").alias("confianca"),
+                    other(F.col("c"), F.col("exact_doc"), F.col("d")).cast("bigint").alias("ref_id"), F.col("c.confianca").alias("confianca"),
                 ),
             ),
         )
@@ -163,7 +170,8 @@ def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     typed = F.col("frequencia_amostragem")
     autocontrolo = (
         table(spark, folder, "autocontrolo", "ac_id", "frequencia_amostragem")
-        .where(filled(typed) & ~typed.isin([e.name for e in frequencies]))
+        .where(filled(typed))
+        .join(_listed(ref.where("lista = 'frequencia'"), "frequencia_amostragem", "valor", "exact"), "frequencia_amostragem", "left_anti")
         .withColumn("m", canonical.mapped(typed, frequencies))
         .select(
             F.lit("autocontrolo").alias("tabela"), F.col("ac_id").alias("row_id"), F.lit("frequencia_amostragem").alias("campo"),
@@ -173,11 +181,6 @@ def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     return conditions.unionByName(autocontrolo)
 
 
-def _exact(c, known: dict[str, int]):
-    pairs = [F.lit(x) for k, v in known.items() for x in (k, v)]
-    return F.try_element_at(F.create_map(*pairs), c).cast("bigint") if pairs else F.lit(None).cast("bigint")
-
-
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """The entry of the canonical list meant by each value that is none itself; 0 if there is none."""
     return p6_values(spark, folder).select("tabela", "row_id", "campo", "ref_id")

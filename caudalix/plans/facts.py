@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +16,7 @@ from caudalix.operators.skew import salted_join
 from caudalix.plans import sql
 from caudalix.plans.licences import _versions, _VERSIONS
 from caudalix.sources.documents import license_flags_text
+from caudalix.session import cut, shared_folder
 from caudalix.sources.tables import table
 from caudalix.streaming import inbox
 
@@ -537,15 +536,6 @@ def resolved_markers(spark, folder):
     return rows.select("ac_id", parsing.resolved(F.col("tipo_amostragem"), legend).alias("nota"))
 
 
-@query(
-    r"""SELECT doc_id, length(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS n FROM documents WHERE NOT contains(coalesce(text, ''), chr(10))"""
-)
-def dewrap_lines(spark, folder):
-    """Length of each one-line text, runs of plain blanks as one; wrapped texts are joined by ``dewrapped_texts``."""
-    rows = table(spark, folder, "documents", "doc_id", "text").where(~F.coalesce(F.col("text"), F.lit("")).contains("\n"))
-    return rows.select("doc_id", F.length(X.collapse(F.col("text"))).cast("bigint").alias("n"))
-
-
 _BARE = f"regexp_replace(t, '^{X.WHITE}+|{X.WHITE}+$', '', 'g')"
 
 
@@ -582,11 +572,13 @@ def cut_names(spark, folder):
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def stream_upsert_result(spark, folder):
     """The last event of each user, kept by a file stream that upserts batch by batch."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    root = os.path.join(base, f"inbox-{uuid.uuid4().hex}") if "://" not in base else f"{base.rstrip('/')}/inbox-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/inbox-{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type").schema
     stream = inbox.arrivals(spark, folder, schema.simpleString()[7:-1].replace(":", " "), "events.parquet")
-    accepted, review = inbox.UpsertTable(spark, f"{root}/accepted", ["user_id"]), inbox.UpsertTable(spark, f"{root}/review", ["user_id"])
-    work = inbox.upsert_batches(["user_id"], [F.col("ts"), F.col("event_id")], F.col("user_id").isNotNull(), accepted, review)
+    order = [F.col("ts"), F.col("event_id")]
+    accepted, review = (inbox.UpsertTable(spark, f"{root}/{name}", ["user_id"], order=order) for name in ("accepted", "review"))
+    work = inbox.upsert_batches(["user_id"], order, F.col("user_id").isNotNull(), accepted, review)
     inbox.run_once(stream, work, f"{root}/progress")
-    return accepted.read().select("user_id", "event_id", "event_type")
+    found = cut(accepted.read().select("user_id", "event_id", "event_type"))
+    inbox.UpsertTable(spark, root, []).drop()
+    return found

@@ -186,5 +186,4 @@ ORACLES: dict[str, str] = {
     p AS (SELECT codmaximo, island, min(a) AS a, max(b) AS b FROM g GROUP BY 1, 2), n AS (SELECT *, lead(a) OVER (PARTITION BY codmaximo ORDER BY a) AS next FROM p)
     SELECT codmaximo, 'periodo' AS tipo, CAST(a AS VARCHAR) AS inicio, CAST(b AS VARCHAR) AS fim FROM p
     UNION ALL SELECT codmaximo, 'lacuna', CAST(b + 1 AS VARCHAR), CAST(next - 1 AS VARCHAR) FROM n WHERE next IS NOT NULL""",
-    "p5_unconnected": "SELECT '' AS source, '' AS target, 0::BIGINT AS n_linhas WHERE false",
 }

@@ -25,14 +25,28 @@ def build(app: str = "caudalix", master: str = "local[8]", **conf: str) -> Spark
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a temporary folder is used. The result survives the loss of executors.
+    Where it is unset and Spark runs on one machine (tests, the bench) a temporary folder serves; on a cluster that would
+    be a folder the executors do not share, so it is an error there.
     """
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named is None and (known := sc.getCheckpointDir()) is not None:
+        named = known
+    if named is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="caudalix-checkpoint-")
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder; the result survives the loss of executors."""
     sc = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="caudalix-checkpoint-"))
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -137,10 +137,14 @@ def write_documents(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).json(path)
 
 
-def write_json_report(df: DataFrame, path: str, **extra: str) -> None:
-    """A report as one JSON object: the rows of a short table (a top list, alerts of one run) and fixed texts."""
-    rows = F.collect_list(F.struct(*df.columns)).alias("linhas")
-    df.agg(F.count("*").alias("n"), rows).select(*[F.lit(v).alias(k) for k, v in extra.items()], "n", "linhas").coalesce(1).write.mode("overwrite").json(path)
+def write_json_report(df: DataFrame, path: str, most: int = 10_000, **extra: str) -> None:
+    """A report as one JSON object: the rows of a short table (a top list, alerts of one run) and fixed texts. More than
+    ``most`` rows raise ValueError: a long table is written by ``write_documents``."""
+    rows = cut(df)
+    if (n := rows.count()) > most:
+        raise ValueError(f"{n} rows in a report of at most {most}")
+    listed = F.collect_list(F.struct(*rows.columns)).alias("linhas")
+    rows.agg(F.count("*").alias("n"), listed).select(*[F.lit(v).alias(k) for k, v in extra.items()], "n", "linhas").coalesce(1).write.mode("overwrite").json(path)
 
 
 def referenced_files(spark: SparkSession, path: str, pattern: str = r"([\w ./-]+\.(?:xlsx|csv|json|parquet))") -> DataFrame:

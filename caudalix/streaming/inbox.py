@@ -1,13 +1,15 @@
 """Incremental loading: files that arrive are read as a stream and upserted by key, micro-batch by micro-batch.
 
 State lives in tables, not in the stream. A batch writes only its own rows, to a folder named by its number, so a batch
-that is run again changes nothing and its cost does not grow with the table. Reading takes the last batch's row of each
-key; now and then the batches are folded into a base. A late row (a renewal or a re-extraction) is just a newer row of
-its key and is never dropped.
+that is run again changes nothing and its cost does not grow with the table. Reading takes of each key the last row in
+the table's order, of equal ones that of the last batch; now and then the batches are folded into a base. Without an
+order a late row (a renewal or a re-extraction) is just the newer row of its key; with one, an old row that arrives late
+replaces nothing.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +21,13 @@ from caudalix.operators.records import pick_last
 class UpsertTable:
     """A table by key kept as ``root``/base=<n> and ``root``/delta=<n>; only complete folders count.
 
-    The table is the highest base and the deltas after it, of each key the row of the highest number. Every
+    The table is the highest base and the deltas after it, of each key the last row in ``order`` (columns of the rows,
+    nulls first), then the one of the highest number. Every
     ``compact_every`` deltas they are written as a new base; folders before the last base are dropped.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], compact_every: int = 50):
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], compact_every: int = 50, order: list[Column] | None = None):
+        self.order = order or []
         self.spark, self.root, self.keys, self.compact_every = spark, root.rstrip("/"), keys, compact_every
         jvm = spark._jvm
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
@@ -50,7 +54,7 @@ class UpsertTable:
             rows = self.spark.read.parquet(part).withColumn("_batch", F.lit(i))
             out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
         columns = [c for c in out.columns if c != "_batch"]
-        return pick_last(out, self.keys, [F.col("_batch")], columns).select(*columns)
+        return pick_last(out, self.keys, [*self.order, F.col("_batch")], columns).select(*columns)
 
     def write(self, df: DataFrame, number: int) -> None:
         """Batch ``number``'s rows, unique by key; written again they replace themselves."""
@@ -61,6 +65,10 @@ class UpsertTable:
         if sum(n > last for n in self.numbers("delta")) >= self.compact_every:
             self.compact(number)
 
+    def drop(self) -> None:
+        """Removes the table's folder."""
+        self._fs.delete(self._path(self.root), True)
+
     def compact(self, number: int) -> None:
         """Folds everything up to ``number`` into a base, then drops what the base before it replaced."""
         before = self.numbers("base")
@@ -86,8 +94,8 @@ def upsert_batches(keys: list[str], order: list[Column], good: Column, accepted:
         if after is not None:
             try:
                 after(accepted.read())
-            except Exception as failure:  # noqa: BLE001  a dependent table must not stop the inbox
-                print(f"dependent table not rebuilt: {failure}")
+            except Exception:  # noqa: BLE001  a dependent table must not stop the inbox
+                logging.getLogger(__name__).exception("dependent table not rebuilt")
 
     return run
 

@@ -2,6 +2,7 @@ import io
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from caudalix.sources import files
@@ -61,6 +62,22 @@ def test_inbox_upserts_late_rows_and_runs_twice(spark, tmp_path):
     assert [r["k"] for r in review.read().collect()] == ["bad"]
 
 
+def test_inbox_keeps_the_order_of_late_files(spark, tmp_path):
+    """Two files out of order, a batch each: the older event arrives last and replaces nothing, in deltas and bases."""
+    box, schema, order = tmp_path / "in", "k string, v int, t int", [F.col("t")]
+    for every in (50, 1):
+        accepted, review = (inbox.UpsertTable(spark, str(tmp_path / f"{n}{every}"), ["k"], every, order) for n in ("ok", "rev"))
+        work = inbox.upsert_batches(["k"], order, F.lit(True), accepted, review)
+        for n, rows in enumerate([[("a", 2, 9), ("b", 1, 1)], [("a", 1, 3), ("b", 2, 1), ("c", 1, None)], [("c", 2, None)]]):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(str(box))
+            inbox.run_once(inbox.arrivals(spark, str(box), schema, "*.parquet", files=1), work, str(tmp_path / f"progress{every}-{n}"))
+            if n == 0:
+                first = accepted.numbers("delta")
+            # Each drop has a progress of its own here, so its number is given by the table.
+            work = (lambda run, n: lambda batch, _: run(batch, n))(inbox.upsert_batches(["k"], order, F.lit(True), accepted, review), n + 1)
+        assert first and sorted((r["k"], r["v"]) for r in accepted.read().collect()) == [("a", 2), ("b", 2), ("c", 2)]
+
+
 def test_upsert_table_compacts(spark, tmp_path):
     t = inbox.UpsertTable(spark, str(tmp_path / "t"), ["k"], compact_every=3)
     assert t.read() is None
@@ -96,6 +113,8 @@ def test_exports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "docs")).count() == 2
     files.write_json_report(df, str(tmp_path / "report"), titulo="t")
     assert spark.read.json(str(tmp_path / "report")).collect()[0]["n"] == 2
+    with pytest.raises(ValueError):
+        files.write_json_report(df, str(tmp_path / "long"), most=1)
     files.write_feed(df, str(tmp_path / "feed"))
     assert spark.read.parquet(str(tmp_path / "feed")).where("t = ''").count() == 1
     (tmp_path / "model.txt").write_text("let a = File(data/Licenses.xlsx), b = x.csv")

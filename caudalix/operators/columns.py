@@ -65,3 +65,15 @@ def missing_list(columns: list[str]) -> tuple[Column, Column]:
     """(names of the columns a row lacks, joined by ``, ``; their number)."""
     names = F.array_compact(F.array(*[F.when(~filled(F.col(c).cast("string")), F.lit(c)) for c in columns]))
     return F.array_join(names, ", "), F.size(names).cast("bigint")
+
+
+def pivot_in_order(df: DataFrame, keys: list[str], name: str, value: Column, first: tuple[str, ...], most: int = 5_000) -> DataFrame:
+    """One row per key and one column per value of ``name``: those of ``first`` in their order, then all others in theirs.
+
+    The values are counted before they become columns: more than ``most`` raise ValueError, as no table has so many.
+    Cells without a row are null; rows whose ``name`` is null make no column.
+    """
+    found = [r[0] for r in df.select(name).where(F.col(name).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values of {name} cannot be columns")
+    return df.groupBy(*keys).pivot(name, [*first, *sorted(set(found) - set(first))]).agg(value)

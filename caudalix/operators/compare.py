@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,3 +69,35 @@ def answered(pairs: DataFrame, answers: DataFrame) -> DataFrame:
 def answer_field(c: Column, name: str) -> Column:
     """The value of a ``NAME: value`` line of an answer; empty text without one."""
     return F.trim(F.regexp_extract(F.coalesce(c, F.lit("")), rf"(?im)^\s*{name}\s*:\s*(.*)$", 1))
+
+
+def first_message(c: Column) -> Column:
+    """The content of the first object of type ``message`` in a model's answer (JSON objects with blank lines between
+    them; the content may stand in an object of its own). Chunks that are no JSON are passed over; without a message
+    the text itself, trimmed."""
+    chunks = F.filter(F.split(c, "\\n\\n"), lambda x: F.get_json_object(x, "$.type") == "message")
+    first = F.get(chunks, 0)
+    inner = F.coalesce(F.get_json_object(first, "$.content.content"), F.when(F.get_json_object(first, "$.content").startswith("{"), F.lit("")), F.get_json_object(first, "$.content"), F.lit(""))
+    return F.when(F.size(chunks) > 0, inner).otherwise(F.trim(c))
+
+
+def asked(pairs: DataFrame, answers: DataFrame, ask: Callable[[str, str], str]) -> DataFrame:
+    """New answers (chave, resposta) to the pairs (chave, antes, depois) that ``answers`` lacks, each asked once.
+
+    ``ask`` gets both texts; where it fails, or gives nothing, there is no answer to store and the pair stays pending.
+    """
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, before, after in zip(batch["chave"], batch["antes"], batch["depois"]):
+                try:
+                    said = ask(before, after)
+                except Exception:  # noqa: BLE001  whatever the model's client raises: an error is no answer
+                    continue
+                if said:
+                    rows.append((key, said))
+            yield pd.DataFrame(rows, columns=["chave", "resposta"], dtype=object)
+
+    fresh = pairs.dropDuplicates(["chave"]).join(answers, "chave", "left_anti").select("chave", "antes", "depois")
+    return fresh.mapInPandas(answer, "chave string, resposta string")

@@ -125,6 +125,12 @@ def name_then_nearest(left: DataFrame, right: DataFrame, left_id: str, right_id:
     return found.select(left_id, F.coalesce("_current", right_id).alias(right_id), "metodo")
 
 
+def keyword_list(df: DataFrame, column: str, header: str = "") -> DataFrame:
+    """palavra: the distinct filled texts of one column of a scanned sheet, trimmed, without the header's word."""
+    word = F.trim(column)
+    return df.select(word.alias("palavra")).where((F.col("palavra") != "") & (F.lower("palavra") != header.lower())).distinct()
+
+
 def forward_filled(df: DataFrame, group: str, order: str, column: str, name: str) -> DataFrame:
     """``column``'s last value that is not null at or before each row of its group (a document's lines)."""
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

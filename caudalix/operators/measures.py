@@ -56,6 +56,19 @@ def selected(c: Column, otherwise: str) -> Column:
     return F.when(one, F.max(c.cast("string"))).otherwise(otherwise)
 
 
+def only_value(c: Column) -> Column:
+    """The one value of the context, null where there are several (null is a value) or none."""
+    return F.when((F.count_distinct(c) == 1) & (F.count_if(c.isNull()) == 0), F.max(c))
+
+
+def ladder(c: Column, steps: tuple[tuple[float, str], ...], otherwise: str) -> Column:
+    """The name of the first step, in ascending order, that ``c`` does not exceed; null stays null."""
+    found = F.lit(otherwise)
+    for limit, name in sorted(steps, reverse=True):
+        found = F.when(c <= limit, name).otherwise(found)
+    return F.when(c.isNotNull(), found)
+
+
 def share_without(df: DataFrame, by: list[str], removed: list[str], name: str = "percentagem") -> DataFrame:
     """Rows per group of ``by``, and their share of the rows of the context without the grouping ``removed``.
 

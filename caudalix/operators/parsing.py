@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudalix.functions.fold import fold_ascii
+from caudalix.functions.placeholders import strip
 from caudalix.functions.pytext import fold_text
 from caudalix.operators.lookups import forward_filled
 
@@ -39,7 +40,7 @@ def labelled(lines_: DataFrame, doc: str, labels: list[str]) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("linha", "parte"))), lambda x: x["parte"]), " ").alias("valor")
     )
     first = blocks.groupBy(doc, "rotulo").agg(F.min_by("valor", "bloco").alias("valor"))
-    return first.select(doc, "rotulo", F.trim("valor").alias("valor"))
+    return first.select(doc, "rotulo", strip(F.col("valor")).alias("valor"))
 
 
 def sections(lines_: DataFrame, doc: str, marker: str) -> DataFrame:
@@ -196,3 +197,38 @@ def file_name_dates(c: Column) -> Column:
     found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(\d{2}[-._]\d{2}[-._]\d{4})"), 1)
     dates = F.transform(found, lambda x: F.try_to_date(F.regexp_replace(x, r"[._]", "-"), "dd-MM-yyyy"))
     return F.filter(dates, lambda d: d.isNotNull() & F.year(d).between(1900, 2100))
+
+
+# What stands in front of a plant's name on a document's first pages, folded, and of its dates.
+NAME_LABELS = ("estabelecimento", "designacao da rejeicao")
+DATES_LABEL = r"(?i)data\s+de\s+validade"
+
+
+def first_page_identity(df: DataFrame, name: str, text: str) -> DataFrame:
+    """name, estabelecimento, vigor, validade, fonte of documents, from the text of their first pages (lines).
+
+    The plant's name stands behind its label or on the next line. Of the dates behind the last "data de validade" the
+    second and third count (after the one of issue), of two both; without two the file name's first and last. ``fonte``
+    says where the dates are from (texto, nome do ficheiro, incompleta). Null texts have none.
+    """
+    texts = F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), r"\r\n|\r|\n"), lambda x: F.trim(x) != ""), F.trim)
+    numbered = F.transform(texts, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    first = F.get(F.filter(numbered, lambda s: fold_ascii(s["x"]).rlike(f"^(?:{'|'.join(NAME_LABELS)})")), 0)
+    behind = F.trim(F.regexp_replace(first["x"], r"^[^:]*:", ""))
+    own = F.when((behind != "") & ~fold_ascii(behind).isin(*NAME_LABELS), behind).otherwise(F.get(texts, first["i"] + 1))
+    parts = F.split(F.coalesce(text, F.lit("")), DATES_LABEL)
+    dates = F.regexp_extract_all(F.element_at(parts, -1), F.lit(r"\b(\d{2}[-/.]\d{2}[-/.]\d{4})\b"), 1)
+    at = lambda i: F.regexp_replace(F.get(dates, i), "[/.]", "-")
+    start = F.when(F.size("_d") >= 3, at(1)).when(F.size("_d") == 2, at(0))
+    end = F.when(F.size("_d") >= 3, at(2)).when(F.size("_d") == 2, at(1))
+    day = lambda d: F.date_format(d, "dd-MM-yyyy")
+    named = file_name_dates(F.element_at(F.split(name, "/"), -1))
+    found = df.withColumn("_d", F.when(F.size(parts) > 1, dates).otherwise(F.array().cast("array<string>"))).withColumn("_n", named)
+    by_name = F.size("_n") >= 2
+    return found.select(
+        name,
+        F.coalesce(own, F.lit("")).alias("estabelecimento"),
+        F.coalesce(start, F.when(by_name, day(F.get("_n", 0))), F.lit("")).alias("vigor"),
+        F.coalesce(end, F.when(by_name, day(F.element_at("_n", -1))), F.lit("")).alias("validade"),
+        F.when(start.isNotNull(), "texto").when(by_name, "nome do ficheiro").otherwise("incompleta").alias("fonte"),
+    )

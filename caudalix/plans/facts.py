@@ -521,14 +521,27 @@ def section_membership(spark, folder):
     return parsing.sections(lines, "doc_id", r"^(?:\d+\.|Ref\.)\s").select("doc_id", "linha", "seccao")
 
 
-@query()
+# The labels of the documents.
+LABELS = ("Ref.", "Nota:", "Ponto", "Note:", "Punto", "Remarque")
+
+
+@query(
+    f"""WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS t, generate_subscripts(string_split_regex(text, '\\r\\n|\\r|\\n'), 1) AS linha FROM documents WHERE text IS NOT NULL),
+    h AS (SELECT doc_id, linha, trim(t) AS texto, CASE {' '.join(f"WHEN starts_with({sql.fold('trim(t)')}, {sql.quoted(x.lower())}) THEN {sql.quoted(x)}" for x in sorted(LABELS, key=len, reverse=True))} END AS own FROM l WHERE trim(t) <> ''),
+    b AS (SELECT *, last_value(CASE WHEN own IS NOT NULL THEN linha END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY linha) AS bloco, last_value(own IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY linha) AS rotulo FROM h),
+    g AS (SELECT doc_id, rotulo, bloco, string_agg(CASE WHEN own IS NOT NULL THEN regexp_replace(substring(texto, length(own) + 1), '^\\s*[:.-]?\\s*', '') ELSE texto END, ' ' ORDER BY linha) AS valor FROM b WHERE bloco IS NOT NULL GROUP BY ALL)
+    SELECT doc_id, rotulo, trim(arg_min(valor, bloco)) AS valor FROM g GROUP BY ALL"""
+)
 def labelled_values(spark, folder):
     """The text behind each known label of the documents."""
     lines = parsing.lines(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
-    return parsing.labelled(lines, "doc_id", ["Ref.", "Nota:", "Ponto", "Note:", "Punto", "Remarque"])
+    return parsing.labelled(lines, "doc_id", list(LABELS))
 
 
-@query()
+@query(
+    r"""SELECT ac_id, array_to_string(list_transform(regexp_extract_all(coalesce(tipo_amostragem, ''), '\([a-z0-9]\)|T\d{6}'), lambda k: CASE k WHEN '(i)' THEN 'com intervalos máximos'
+    WHEN '(a)' THEN 'diária' WHEN '(b)' THEN 'semanal' ELSE regexp_replace(k, '[()]', '', 'g') END), ' | ') AS nota FROM autocontrolo"""
+)
 def resolved_markers(spark, folder):
     """The legend texts that each sampling type's marker stands for."""
     rows = table(spark, folder, "autocontrolo", "ac_id", "tipo_amostragem")

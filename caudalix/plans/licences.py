@@ -417,13 +417,13 @@ def row_missing_list(spark, folder):
 
 
 @query(
-    "SELECT coluna, sum(falta)::BIGINT AS n FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS coluna, count(*) FILTER (NOT {sql.filled(c)}) AS falta FROM licenses" for c in _QUALITY_COLS) + ") GROUP BY coluna ORDER BY n DESC, coluna LIMIT 5"
+    "SELECT coluna, sum(falta)::BIGINT AS n FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS coluna, count(*) FILTER (NOT {sql.filled(c)}) AS falta FROM licenses" for c in _QUALITY_COLS) + ") GROUP BY coluna HAVING sum(falta) > 0 ORDER BY n DESC, coluna LIMIT 15"
 )
 def top_missing_fields(spark, folder):
-    """The five columns most often missing."""
+    """The fifteen columns most often missing."""
     rows = table(spark, folder, "licenses", *_QUALITY_COLS)
     names = F.array_compact(F.array(*[F.when(~filled(F.col(c)), F.lit(c)) for c in _QUALITY_COLS]))
-    return rows.select(F.explode(names).alias("coluna")).groupBy("coluna").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "coluna").limit(5)
+    return rows.select(F.explode(names).alias("coluna")).groupBy("coluna").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "coluna").limit(15)
 
 
 @query(

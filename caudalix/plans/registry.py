@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caudalix.plans import facts, licences, problems
+from caudalix.plans import facts, licences, problems, report
 
-QUERIES = licences.QUERIES | facts.QUERIES | problems.QUERIES
-ORACLES: dict[str, str] = licences.ORACLES | facts.ORACLES | problems.ORACLES
+QUERIES = licences.QUERIES | facts.QUERIES | report.QUERIES | problems.QUERIES
+ORACLES: dict[str, str] = licences.ORACLES | facts.ORACLES | report.ORACLES | problems.ORACLES

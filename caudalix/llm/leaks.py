@@ -29,6 +29,8 @@ BLOCK_WORDS = 1 << 24
 #: Phrases searched at once in a shard.
 SEARCHED = 1 << 18
 _WORD = re.compile(r"[^\W_]+")
+#: The accents of Latin letters, and where all other combining characters lie.
+_ACCENTS, _OTHER_MARKS = re.compile("[\u0300-\u036f]+"), re.compile("[\u0483-\u1fff\u20d0-\U0001efff]")
 
 
 def words(text: str | None) -> list[str]:
@@ -37,7 +39,9 @@ def words(text: str | None) -> list[str]:
         return []
     text = unicodedata.normalize("NFKD", text.casefold())
     if not text.isascii():
-        text = "".join(c for c in text if not unicodedata.combining(c))
+        text = _ACCENTS.sub("", text)
+        if _OTHER_MARKS.search(text):
+            text = "".join(c for c in text if not unicodedata.combining(c))
     return _WORD.findall(text)
 
 

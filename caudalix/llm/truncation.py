@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from caudalix.session import cut
 ORDERS = (3, 4, 5, 6, 8, 10, 12, 16, 20, 28)
 # Marks that stand where a text was cut.
 _MARK = r"(?:\s*(?:\.\.\.|…|\(\.\.\.\)|\(…\)|\[\.\.\.\]|\[…\]|>>|�+))+$"
+#: How every marked text ends; only those are searched for the mark.
+_MARK_ENDS = ("...", "…", "...)", "…)", "...]", "…]", ">>", "\ufffd")
 _START = "\u0002"
 
 
@@ -56,8 +60,13 @@ SENTENCE = r"[.!?](?:\s+[^\p{Ll}\d\s]|$)"
 _BETWEEN = r"(?<=[.!?])\s+(?=[^\p{Ll}\d\s])"
 
 
+def _may_be_marked(c: Column) -> Column:
+    end = F.rtrim(c)
+    return reduce(or_, [end.endswith(x) for x in _MARK_ENDS])
+
+
 def _stripped(c: Column) -> Column:
-    return F.rtrim(F.regexp_replace(c, _MARK, ""), F.lit(BLANKS))
+    return F.rtrim(F.when(_may_be_marked(c), F.regexp_replace(c, _MARK, "")).otherwise(c), F.lit(BLANKS))
 
 
 def _open_bracket(c: Column) -> Column:
@@ -84,7 +93,7 @@ def _texts(cells: DataFrame) -> DataFrame:
     mapped = F.when(value.rlike(r"[^\x00-\xff]|[\xa0\xad]"), plain(value)).otherwise(value)
     # A row of one array, so that the optimizer does not copy the reading to each use of the text.
     read = cells.withColumn("text", F.explode(F.array(F.regexp_replace(_stripped(mapped), r"\d+", "0"))))
-    return read.where("text <> ''").withColumn("marked", value.rlike(_MARK)).withColumn("key", F.xxhash64("lang", "campo", "text", "marked"))
+    return read.where("text <> ''").withColumn("marked", _may_be_marked(value) & value.rlike(_MARK)).withColumn("key", F.xxhash64("lang", "campo", "text", "marked"))
 
 
 def kinds_of(cells: DataFrame, fields: tuple[Field, ...]) -> DataFrame:

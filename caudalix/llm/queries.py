@@ -276,4 +276,11 @@ ORACLES: dict[str, str] = {
     dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k+12], ' '))) AS g FROM d WHERE len(w) >= 13),
     ig AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k+12], ' '))) AS g FROM i WHERE len(w) >= 13)
     SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+    "p9_spans": r"""WITH d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+    i AS (SELECT item_id, regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+    dk AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13), dg AS (SELECT doc_id, k, array_to_string(w[k:k+12], ' ') AS g FROM dk),
+    ig AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k+12], ' '))) AS g FROM i WHERE len(w) >= 13),
+    h AS (SELECT DISTINCT doc_id, item_id, k FROM dg JOIN ig USING (g)), o AS (SELECT *, coalesce(k > lag(k) OVER (PARTITION BY doc_id, item_id ORDER BY k) + 13, true) AS opens FROM h),
+    s AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id, item_id ORDER BY k) AS run FROM o)
+    SELECT doc_id, item_id, min(k) AS first_word, max(k) + 12 AS last_word FROM s GROUP BY doc_id, item_id, run""",
 }

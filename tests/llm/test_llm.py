@@ -222,6 +222,60 @@ def test_language_held_out(spark):
     assert agree >= 0.93 * len(rows)  # labels themselves are wrong in some per cent
 
 
+# Sentences of each language for corpora whose languages are known; the slots take a name, a figure and a substance.
+SPOKEN = {
+    "pt": ["O titular deve comunicar a avaria da bomba {n} no prazo de {k} dias.", "A água da ribeira em {n} tinha cor e cheiro depois da chuva.", "Os resultados de {s} ficaram abaixo do limite fixado na licença.", "Foram recolhidas {k} amostras à saída da estação de {n}.", "Não há registo de descargas durante o período em análise.", "Solicita-se o envio do relatório anual com os valores de {s}.", "As lamas seguiram para compostagem em {n}, num total de {k} toneladas."],
+    "en": ["The holder must report the failure of pump {n} within {k} days.", "The water of the stream near {n} had colour and smell after the rain.", "The results for {s} were below the limit set in the permit.", "We collected {k} samples at the outlet of the plant in {n}.", "There is no record of discharges during the period under review.", "Please send us the annual report with the values of {s}.", "The sludge was sent to composting in {n}, {k} tonnes in all."],
+    "es": ["El titular debe avisar de la avería de la bomba {n} en un plazo de {k} días.", "El agua del arroyo cerca de {n} tenía color y olor tras la lluvia.", "Los resultados de {s} quedaron por debajo del límite fijado en la autorización.", "Se recogieron {k} muestras a la salida de la planta de {n}.", "No consta ningún vertido durante el periodo analizado.", "Rogamos que nos envíen el informe anual con los valores de {s}.", "Los lodos se enviaron a compostaje en {n}, {k} toneladas en total."],
+    "fr": ["Le titulaire doit signaler la panne de la pompe {n} sous {k} jours.", "L'eau du ruisseau près de {n} avait une couleur et une odeur après la pluie.", "Les résultats pour {s} étaient sous la limite fixée par le permis.", "Nous avons prélevé {k} échantillons à la sortie de la station de {n}.", "Aucun rejet n'a été enregistré pendant la période étudiée.", "Veuillez nous envoyer le rapport annuel avec les valeurs de {s}.", "Les boues sont parties au compostage à {n}, {k} tonnes en tout."],
+    "de": ["Der Betreiber muss den Ausfall der Pumpe {n} innerhalb von {k} Tagen melden.", "Das Wasser des Baches bei {n} hatte nach dem Regen Farbe und Geruch.", "Die Ergebnisse für {s} lagen unter dem Grenzwert der Erlaubnis.", "Wir haben {k} Proben am Ablauf der Anlage in {n} entnommen.", "Im untersuchten Zeitraum wurden keine Einleitungen festgestellt.", "Bitte senden Sie uns den Jahresbericht mit den Werten von {s}.", "Der Schlamm ging zur Kompostierung nach {n}, insgesamt {k} Tonnen."],
+}
+
+
+def spoken_corpus(n: int, seed: int):
+    """(doc_id, text, lang) and the cases (doc_id, segmento, lang): a third of the documents is one text, rows of figures
+    with symbols stand between the sentences, labels are missing, wrong or oddly spelled."""
+    rng = random.Random(seed)
+    syllable = lambda: rng.choice(["va", "re", "lo", "mi", "nu", "ça", "dri", "pos"])
+    fill = lambda t: t.format(n="".join(syllable() for _ in range(4)).capitalize(), k=rng.randint(2, 400), s=rng.choice(["HC", "Zn", "CBO5", "pH", "SST", "Nt"]))
+    figures = lambda: "\n\n" + "\n".join(f"{rng.choice(['HC', 'Zn', 'Pt', 'NO2'])} | {rng.randint(1, 300)},{rng.randint(0, 9)} | mg/L" for _ in range(rng.randint(1, 3))) + "\n\n"
+    spelled = {"pt": ["PT", "pt-PT", "Português", "por"], "en": ["en", "EN_gb", "english", "inglês"], "es": ["es", "Español", "spa", "castellano"], "fr": ["FR", "fr-CA", "français", "fre"], "de": ["de", "DE-AT", "Deutsch", "alemão"]}
+    hot = " ".join(fill(t) for t in SPOKEN["pt"][:4])
+    docs, cases = [], []
+    for i in range(n):
+        langs = rng.choices(list(SPOKEN), [6, 2, 2, 1, 1])
+        if i % 3 and rng.random() < 0.12:
+            while len(langs) < rng.choice([2, 3]):
+                langs.append(rng.choice([x for x in SPOKEN if x != langs[-1]]))
+        parts = [" ".join(fill(t) for t in rng.sample(SPOKEN[x], rng.randint(3, 5))) for x in langs]
+        text, main = "", {}
+        for part, x in zip(parts, langs):
+            text += (rng.choice([" / ", "\n"]) if text else "") + part + (figures() if rng.random() < 0.3 else "")
+            main[x] = main.get(x, 0) + len(part)
+        if i % 3 == 0:
+            text, langs, main = hot, ["pt"], {"pt": 1}
+        best = max(main, key=main.get)
+        if len(main) > 1 and sorted(main.values())[-1] < 1.15 * sorted(main.values())[-2]:
+            continue  # no main language to speak of
+        label = rng.choice(spelled[best]) if rng.random() < 0.85 else rng.choice([None, "und", "??", " ", "gl", *[rng.choice(v) for v in spelled.values()]])
+        docs.append((i, text, label))
+        if langid.code_of(label) != best:
+            cases.append((i, 0, best))
+        if len(langs) > 1:
+            cases += [(i, k, x) for k, x in enumerate(langs, 1)]
+    return docs, set(cases)
+
+
+def test_language_of_a_skewed_corpus_with_figures(spark, monkeypatch):
+    docs, cases = spoken_corpus(3_000, 11)
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    monkeypatch.setattr(queries, "table", lambda *a: df)
+    found = {tuple(r) for r in queries.p10_found(spark, "").collect()}
+    right = len(found & cases)
+    print(f"precision {right / len(found):.4f} recall {right / len(cases):.4f} of {len(cases)}")
+    assert right >= 0.98 * len(found) and right >= 0.98 * len(cases)
+
+
 def test_language_segments_and_edges(spark):
     train = [("pt", "O titular deve comunicar a avaria. A água tem cor."), ("en", "The holder must report the failure. The water has colour."), ("fr", "Le titulaire doit signaler la panne. L'eau a une couleur.")] * 5
     model = langid.fit(train)

@@ -50,7 +50,8 @@ LABEL_NAMES = {
 NO_LABEL = ("", "und", "??", "?", "n/a", "na", "-", "none", "null", "unknown", "unk", "mul", "zxx", "s/d", "...", "(vazio)")
 
 _LINE = re.compile(r"[^\r\n\x0b\x0c\x85  ]+")
-_SENTENCE_END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+(?=[\"'“«(\[•*-]*\s*[A-ZÀ-ÖØ-Þ¿¡\d])")
+#: Behind a stop, marks may set texts apart (" / ", " — ") in front of the next sentence.
+_SENTENCE_END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+(?=\W{0,12}[A-ZÀ-ÖØ-Þ\d])")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
 

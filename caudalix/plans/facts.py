@@ -323,22 +323,6 @@ def period_fallback_join(spark, folder):
     return lookups.with_fallback(asked, unique, ["file_name", "parametro"], "periodo", "Normal", ["vle"])
 
 
-@query(
-    """WITH u AS (SELECT file_name, parametro, max(CASE WHEN periodo='Normal' THEN vle END) AS n, max(CASE WHEN periodo='Estiagem' THEN vle END) AS e FROM conditions WHERE file_name IS NOT NULL AND parametro IN ('CBO5','CQO','SST','pH','Nt','Pt') GROUP BY 1,2),
-    c AS (SELECT file_name, parametro, CASE WHEN n IS NOT NULL AND e IS NOT NULL AND n <> e THEN n || ' / ' || e ELSE coalesce(n, e) END AS cell FROM u)
-    SELECT file_name, """ + ", ".join(f"max(CASE WHEN parametro='{p}' THEN cell END) AS \"{p}\"" for p in ("CBO5", "CQO", "SST", "pH", "Nt", "Pt")) + " FROM c GROUP BY 1"
-)
-def pivot_param_limits(spark, folder):
-    """One row per file, one column per parameter of the report; both periods in a cell where they differ."""
-    params = ["CBO5", "CQO", "SST", "pH", "Nt", "Pt"]
-    rows = table(spark, folder, "conditions", "file_name", "parametro", "periodo", "vle").where(F.col("file_name").isNotNull() & F.col("parametro").isin(params))
-    of = lambda p: F.max(F.when(F.col("periodo") == p, F.col("vle")))
-    cells = rows.groupBy("file_name", "parametro").agg(of("Normal").alias("n"), of("Estiagem").alias("e"))
-    both = F.col("n").isNotNull() & F.col("e").isNotNull() & (F.col("n") != F.col("e"))
-    cell = F.when(both, F.concat_ws(" / ", "n", "e")).otherwise(F.coalesce("n", "e"))
-    return cells.withColumn("cell", cell).groupBy("file_name").pivot("parametro", params).agg(F.max("cell"))
-
-
 @query("SELECT file_name, count(DISTINCT parametro) AS parametros, count(*) AS linhas, arg_max(ponto, cond_id) AS ponto FROM conditions WHERE file_name IS NOT NULL GROUP BY 1")
 def plant_summary(spark, folder):
     """Parameters and rows per document, with the last row's point."""

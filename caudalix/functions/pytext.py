@@ -82,22 +82,40 @@ def edit_distance(a: str, b: str, most: int) -> int:
 class NearKeys:
     """A fixed set of keys, searched by start and by small slips without comparing all of them.
 
-    A key is cut into more pieces than its ``edits`` can touch (a swap of neighbours may touch two), so a text within
-    that distance holds one of them unchanged and nearly in its place.
+    Short keys are listed under what is left of them when as many characters as their ``edits`` are dropped: a text
+    within that distance leaves one of the same rests. A longer key is cut into more pieces than its edits can touch (a
+    swap of neighbours may touch two), so such a text holds one of them unchanged and nearly in its place.
     """
 
+    #: Keys up to so many characters are short: they have at most 79 rests.
+    SHORT = 12
+
     def __init__(self, keys: Iterable[str], edits: Callable[[str], int]):
         self.keys = sorted(set(keys))
         self.edits = edits
+        self.rests: dict[str, list[str]] = {}
         self.pieces: dict[tuple[int, int, str], list[str]] = {}
         self.cuts: dict[int, set[int]] = {}
         for key in self.keys:
+            if len(key) <= self.SHORT:
+                for rest in self._dropped(key, edits(key)):
+                    self.rests.setdefault(rest, []).append(key)
+                continue
             count = 2 * edits(key) + 1
             self.cuts.setdefault(len(key), set()).add(count)
             for start, end in self._ends(len(key), count):
                 self.pieces.setdefault((len(key), start, key[start:end]), []).append(key)
         self.most = max(map(edits, self.keys), default=0)
 
+    @staticmethod
+    def _dropped(text: str, most: int) -> set[str]:
+        """``text`` without up to ``most`` of its characters, every way."""
+        found = last = {text}
+        for _ in range(most):
+            last = {t[:i] + t[i + 1 :] for t in last for i in range(len(t))}
+            found = found | last
+        return found
+
     @staticmethod
     def _ends(length: int, count: int) -> Iterator[tuple[int, int]]:
         bounds = [i * length // count for i in range(count + 1)]
@@ -113,6 +131,9 @@ class NearKeys:
     def near(self, text: str) -> Iterator[tuple[str, int]]:
         """The keys within their edits of ``text``, with the distance."""
         seen: set[str] = set()
+        if len(text) <= self.SHORT + self.most:
+            for rest in self._dropped(text, self.most):
+                seen.update(self.rests.get(rest, ()))
         for length in range(max(1, len(text) - self.most), len(text) + self.most + 1):
             for count in self.cuts.get(length, ()):
                 shift = count // 2

@@ -10,6 +10,7 @@ names that resemble a value. Values are worked out once per distinct text of a b
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -90,7 +91,7 @@ class Mapper:
     """Finds the entry of one list meant by a typed value: ``mapper(value) -> (ref or 0, confidence)``.
 
     Ties between entries of the same length or similarity give no entry (0), as does a value with no mention whose
-    best similarity is below ``least``.
+    best similarity is below ``least``; its confidence then rests on the names that could have reached it.
     """
 
     def __init__(self, entries: list[Entry], least: float = 0.72):
@@ -126,10 +127,10 @@ class Mapper:
         if len(self.automaton):
             self.automaton.make_automaton()
         self.starts = NearKeys((k for k in self.whole if len(k) >= 5), lambda k: 1 if len(k) < 8 else 2)
-        #: Which names (by their place in ``sets``) have each word.
+        #: Which names (by their place in ``sets``) have each word, once for each time they have it.
         self.having: dict[str, list[int]] = {}
         for i, (_, tokens) in enumerate(self.sets):
-            for t in set(tokens):
+            for t in tokens:
                 self.having.setdefault(t, []).append(i)
         self.tokens = NearKeys(self.having, _slips)
 
@@ -166,8 +167,11 @@ class Mapper:
         if not tokens:
             return 0, 1.0
         best: dict[int, float] = {}
-        for i in self.resembling(tokens):
+        for i, shared in self.resembling(tokens).items():
             ref, names = self.sets[i]
+            # With all of the words that resemble one matched in full a name's similarity were this.
+            if 2 * shared < self.least * (sum(map(len, names)) + shared) - 1e-9:
+                continue
             score = _set_similarity(tokens, names)
             if score > best.get(ref, 0.0):
                 best[ref] = score
@@ -180,8 +184,9 @@ class Mapper:
             return 0, 0.5
         return ranked[0][0], ranked[0][1]
 
-    def resembling(self, typed: list[str]) -> list[int]:
-        """The names that have a word like one of ``typed``: no other name has a similarity above 0."""
+    def resembling(self, typed: list[str]) -> Counter:
+        """The names that have words like one of ``typed``, with the length of those words: no other name has a
+        similarity above 0."""
         like: set[str] = set()
         for t in set(typed):
             if len(t) >= 2:
@@ -189,7 +194,11 @@ class Mapper:
             elif t in self.having:
                 like.add(t)
             like.update(k for k, _ in self.tokens.near(t))
-        return sorted({i for t in like for i in self.having[t]})
+        shared: Counter = Counter()
+        for t in sorted(like):
+            for i in self.having[t]:
+                shared[i] += len(t)
+        return shared
 
 
 def _slips(word: str) -> int:

@@ -21,12 +21,15 @@ def interval_relation(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
     )
 
 
-def oldest_and_newest(df: DataFrame, asset: str, start: str, row_id: str) -> DataFrame:
+def oldest_and_newest(df: DataFrame, asset: str, start: str, row_id: str, chosen: DataFrame | None = None) -> DataFrame:
     """asset, antiga, nova: the ids of the first and last version by start (undated ones left out); assets with one
-    version give no row."""
+    version give no row. ``chosen`` (asset, antiga, nova) names the pair of some assets instead."""
     dated = df.where(F.col(asset).isNotNull() & F.col(start).isNotNull())
-    ends = dated.groupBy(asset).agg(F.min(F.struct(start, row_id)).alias("a"), F.max(F.struct(start, row_id)).alias("b"))
-    return ends.where(F.col("a") != F.col("b")).select(asset, F.col(f"a.{row_id}").alias("antiga"), F.col(f"b.{row_id}").alias("nova"))
+    ends = dated.groupBy(asset).agg(F.min(F.struct(start, row_id)).alias("_first"), F.max(F.struct(start, row_id)).alias("_last"))
+    found = ends.where(F.col("_first") != F.col("_last")).select(asset, F.col(f"_first.{row_id}").alias("antiga"), F.col(f"_last.{row_id}").alias("nova"))
+    if chosen is None:
+        return found
+    return found.join(chosen, asset, "left_anti").unionByName(chosen.select(asset, "antiga", "nova"))
 
 
 def compared(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

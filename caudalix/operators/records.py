@@ -49,6 +49,22 @@ def ordinals(df: DataFrame, group: list[str], order: list[str], name: str = "ord
     return joined
 
 
+def zipped(left: DataFrame, right: DataFrame, order: str, same: list[str]) -> DataFrame:
+    """Two sheets of one table put side by side by the place of their rows: the columns of ``left`` and the others of
+    ``right``. ``order`` (unique on each side) is taken from the left. A row without a partner, or one whose ``same``
+    columns differ, raises ValueError: the sheets are not of one table."""
+    a, b = ordinals(left, [], [order], "_place"), ordinals(right, [], [order], "_place")
+    more = [c for c in right.columns if c != order and c not in same]
+    named = b.select("_place", F.lit(True).alias("_there"), *[F.col(c).alias(f"_r_{c}") for c in (*same, *more)])
+    both = cut(a.withColumn("_here", F.lit(True)).join(named, "_place", "full"))
+    apart = F.col("_here").isNull() | F.col("_there").isNull()
+    for c in same:
+        apart = apart | ~F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    if (n := both.where(apart).count()) > 0:
+        raise ValueError(f"{n} rows of the two sheets do not belong together")
+    return both.select(*left.columns, *[F.col(f"_r_{c}").alias(c) for c in more])
+
+
 def versions(df: DataFrame, asset: str, start: Column, row_id: str) -> DataFrame:
     """``df`` with ``vigencia``: the version of an asset with the newest start is Atual, others Histórico.
 

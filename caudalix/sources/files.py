@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal
 from io import BytesIO
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -121,6 +123,65 @@ def sheet(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
     return body.select(F.col("linha").alias("_ord"), *[F.get("celulas", F.when(at(c) > 0, at(c) - 1)).alias(c) for c in columns])
 
 
+def _column(at: int) -> str:
+    """The letters of a sheet's column, counted from 0."""
+    letters = ""
+    at += 1
+    while at:
+        at, rest = divmod(at - 1, 26)
+        letters = chr(65 + rest) + letters
+    return letters
+
+
+def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
+    """A workbook in Office Open XML with the rows of each sheet; figures stay figures, all else is text, None is left
+    out. Sheet names are made unique, cleaned of what they may not hold, and cut to 31 characters."""
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    names: list[str] = []
+    for title in sheets:
+        clean = re.sub(r"[\[\]:*?/\\]", " ", title).strip()[:31] or "Folha"
+        tries = (clean, *(f"{clean[:27]} ({i})" for i in range(2, 999)))
+        names.append(next(t for t in tries if t.lower() not in {n.lower() for n in names}))
+
+    def cell(row: int, at: int, value) -> str:
+        place = f'{_column(at)}{row}'
+        if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+            return f'<c r="{place}"><v>{value}</v></c>'
+        text = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", str(value))
+        return f'<c r="{place}" t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
+
+    out = BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(names) + 1))
+        z.writestr("[Content_Types].xml", f'<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{kinds}</Types>')
+        z.writestr("_rels/.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        listed = "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1))
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{listed}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="rId{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{links}</Relationships>')
+        for i, rows in enumerate(sheets.values(), 1):
+            body = "".join(f'<row r="{r}">{"".join(cell(r, c, v) for c, v in enumerate(row) if v is not None)}</row>' for r, row in enumerate(rows, 1))
+            z.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def write_workbook(spark: SparkSession, sheets: dict[str, DataFrame], path: str, most: int = 50_000) -> None:
+    """A report workbook: a sheet per table, its columns as header. A report is read by people: a table of more than
+    ``most`` rows raises ValueError (``write_feed`` and ``write_csv`` take any)."""
+    written = {}
+    for name, df in sheets.items():
+        rows = df.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} rows in sheet {name}")
+        written[name] = [df.columns, *map(list, rows)]
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(workbook_bytes(written)))
+    finally:
+        stream.close()
+
+
 def write_feed(df: DataFrame, path: str) -> None:
     """Every column as text, replaced as a whole; the committer publishes it at once."""
     df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]).write.mode("overwrite").parquet(path)

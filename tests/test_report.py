@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caudalix.operators import columns, compare, lookups, measures
+from caudalix.operators import columns, compare, lookups, measures, records
+from caudalix.sources import files
 
 
 def test_pivot_keeps_every_value(spark):
@@ -48,3 +49,34 @@ def test_asked_stores_no_errors(spark):
     assert [tuple(r) for r in new.collect()] == [("3", "d-e")]
     done = {r["chave"]: r["resposta"] for r in compare.answered(pairs.select("chave").distinct(), answers.unionByName(new)).collect()}
     assert done == {"1": "old", "2": "PENDENTE", "3": "d-e", "4": "PENDENTE"}
+
+
+def test_report_workbook_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("ção <&> \x01\n2", 1.5, None), ("", -2.0, "x")], "nome string, valor double, nota string")
+    path = str(tmp_path / "report.xlsx")
+    files.write_workbook(spark, {"Um/dois": df, "um dois": df.where("false"), "L" * 40: df.limit(1)}, path)
+    rows = files.read_workbooks(spark, path).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["folha"], []).append(r["celulas"])
+    assert got["Um dois"] == [["nome", "valor", "nota"], ["ção <&> \n2", "1.5"], ["", "-2.0", "x"]]
+    assert got["um dois (2)"] == [["nome", "valor", "nota"]] and set(got) == {"Um dois", "um dois (2)", "L" * 31}
+    with pytest.raises(ValueError):
+        files.write_workbook(spark, {"x": df}, path, most=1)
+
+
+def test_zipped_sheets(spark):
+    left = spark.createDataFrame([(3, "c", "C"), (1, "a", "A"), (2, None, "B")], "_ord long, k string, v string")
+    right = spark.createDataFrame([(20, None, "y"), (10, "a", "x"), (30, "c", "z")], "_ord long, k string, w string")
+    assert sorted(map(tuple, records.zipped(left, right, "_ord", ["k"]).collect())) == [(1, "a", "A", "x"), (2, None, "B", "y"), (3, "c", "C", "z")]
+    for wrong in (right.where("_ord < 30"), right.withColumn("k", F.lit("a"))):
+        with pytest.raises(ValueError):
+            records.zipped(left, wrong, "_ord", ["k"])
+    assert records.zipped(left.where("false"), right.where("false"), "_ord", ["k"]).count() == 0
+
+
+def test_pairs_may_be_chosen(spark):
+    df = spark.createDataFrame([("A", "2020", 1), ("A", "2021", 2), ("A", "2022", 3), ("B", "2020", 4), ("B", "2021", 5), ("C", None, 6), (None, "2020", 7)], "a string, s string, i long")
+    chosen = spark.createDataFrame([("A", 2, 3)], "a string, antiga long, nova long")
+    assert sorted(map(tuple, compare.oldest_and_newest(df, "a", "s", "i", chosen).collect())) == [("A", 2, 3), ("B", 4, 5)]
+    assert sorted(map(tuple, compare.oldest_and_newest(df, "a", "s", "i").collect())) == [("A", 1, 3), ("B", 4, 5)]

@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     be a folder the executors do not share, so it is an error there.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named is None and (known := sc.getCheckpointDir()) is not None:
         named = known
     if named is None:

@@ -28,6 +28,17 @@ def test_tokens_edges(spark, text):
         assert tokens.encode(df, "doc_id", "text", chunk=chunk, overlap=11).collect()[0]["ids"] == want
 
 
+def test_pieces_inside_a_task():
+    bpe = tokens.encoding(f"{tokens.TOKENIZERS}/{tokens.VOCABULARY}").encode_ordinary
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["água", "e", "caudal,", "3,5", "mg/L", "\n\n", "'ll", "日本語"]) for _ in range(rng.randint(0, 900))) for _ in range(30)]
+    for text in [*texts, "a" * 5_000, " " * 5_000, "é\n" * 3_000]:
+        for part, overlap in ((tokens.PART, tokens.PART_OVERLAP), (64, 16)):
+            pieces = tokens.pieces_of(text, part, overlap)
+            assert "".join(pieces) == text and [i for p in pieces for i in bpe(p)] == bpe(text)
+            assert len(text) <= part + 2 * overlap or len(pieces) > 1 or len(set(text)) < 3
+
+
 def test_stitch_random():
     rng = random.Random(5)
     for _ in range(300):
@@ -70,6 +81,27 @@ def test_truncation_scenarios(spark):
     assert truncation.judge(df.where("false"), "cond_id", fields).count() == 0
 
 
+def test_truncation_after_an_abbreviation(spark):
+    """A note that stops at an abbreviation is cut where the corpus shows it going on; one that stops at a sentence is whole."""
+    notes = [f"O titular comunica a avaria nos termos do art. {n}.º do regulamento. A amostra é composta." for n in range(60)]
+    notes += [f"O medidor de caudal é calibrado de {n} em {n} meses." for n in range(30)]
+    rows = [(i, n) for i, n in enumerate(notes)] + [(100, "O titular comunica a avaria nos termos do art."), (101, "O medidor de caudal é calibrado de 4 em 4 meses."), (102, "A amostra é composta.")]
+    df = spark.createDataFrame(rows, "cond_id long, observacoes string")
+    fields = (truncation.Field("observacoes", truncation.SENTENCE, True),)
+    got = {r["cond_id"] for r in truncation.judge(df, "cond_id", fields, only_cut=True).collect()}
+    assert got == {100} == {r["cond_id"] for r in truncation.judge(df, "cond_id", fields).where("cut").collect()}
+
+
+def test_truncation_of_a_hot_text(spark):
+    """A third of the rows is one cut text beside many whole copies of its sentence; extra columns have clashing names."""
+    whole = "A recolha das amostras é feita na caixa de visita a jusante da estação."
+    rows = [(i, "A recolha das amostras é feita na caixa de vis" if i % 6 == 0 else whole, "x", "y") for i in range(1_200)]
+    df = spark.createDataFrame(rows, "cond_id long, observacoes string, text string, key string")
+    fields = (truncation.Field("observacoes", truncation.SENTENCE, True),)
+    got = {r["cond_id"] for r in truncation.judge(df, "cond_id", fields, only_cut=True).collect()}
+    assert got == {i for i in range(1_200) if i % 6 == 0}
+
+
 def brute_leaks(docs, items, least):
     grams = {}
     for i, text in items:

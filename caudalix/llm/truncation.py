@@ -91,8 +91,9 @@ def _texts(cells: DataFrame) -> DataFrame:
     # Few values have a character beyond Latin-1; only those are mapped to plain ones.
     value = F.col("value")
     mapped = F.when(value.rlike(r"[^\x00-\xff]|[\xa0\xad]"), plain(value)).otherwise(value)
-    # A row of one array, so that the optimizer does not copy the reading to each use of the text.
-    read = cells.withColumn("text", F.explode(F.array(F.regexp_replace(_stripped(mapped), r"\d+", "0"))))
+    # Rows of one array, so that each step is worked out once and not copied to every use of what it gives.
+    read = cells.withColumn("plain", F.explode(F.array(mapped)))
+    read = read.withColumn("text", F.explode(F.array(F.regexp_replace(_stripped(F.col("plain")), r"\d+", "0")))).drop("plain")
     return read.where("text <> ''").withColumn("marked", _may_be_marked(value) & value.rlike(_MARK)).withColumn("key", F.xxhash64("lang", "campo", "text", "marked"))
 
 

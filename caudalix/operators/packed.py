@@ -66,14 +66,17 @@ _MARKS = (
 _ANY_MARK = r"^(?:\([a-z0-9]{1,2}\)|[a-z]\)|\d{1,2}\)|\d{1,2}\.(?=\s)|[-–*•](?=\s))\s+"
 
 
-def values_of(c: Column, kind: Kind) -> Column:
+def values_of(c: Column, kind: Kind, least: int = 1) -> Column:
     """The values of ``c`` in the order written, as an array of text.
 
     Null, empty text and placeholders give an empty array. An unpaired quotation mark is an ordinary character.
     Each value comes without separators, list marks, quotation marks and white space around it; empty pieces are
-    dropped. A final full stop stays.
+    dropped. A final full stop stays. Where fewer than ``least`` values are of no use, a field that holds no more than
+    one may give an empty array, too.
     """
     text = F.coalesce(c, F.lit(""))
+    if least > 1:
+        return F.when(text.rlike(_MAY_SEPARATE), _split(text, kind)).otherwise(F.array().cast("array<string>"))
     single = F.filter(F.array(_bare(text)), lambda v: ~v.isin(*PLACEHOLDERS))
     # Most fields hold one value: whatever has no separator, quotation mark or list mark at all skips the fold.
     return F.when(text.rlike(_MAY_SEPARATE), _split(text, kind)).otherwise(single)
@@ -129,7 +132,7 @@ def unpack(df: DataFrame, row_id: str, fields: dict[str, Kind], least: int = 2)
     Columns besides ``row_id`` and the fields are not read, so their names cannot clash.
     """
     each = F.array(
-        *[F.struct(F.lit(name).alias("campo"), values_of(F.col(name), kind).alias("valores")) for name, kind in fields.items()]
+        *[F.struct(F.lit(name).alias("campo"), values_of(F.col(name), kind, least).alias("valores")) for name, kind in fields.items()]
     )
     rows = df.select(F.col(row_id).alias("_id"), F.explode(each).alias("_f")).where(F.size("_f.valores") >= least)
     return rows.select(F.col("_id"), F.col("_f.campo").alias("campo"), F.posexplode("_f.valores")).select(

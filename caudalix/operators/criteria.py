@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from caudalix.functions.fold import fold_ascii, slug
 from caudalix.functions.placeholders import filled
 from caudalix.operators.records import ordinals, pick
-from caudalix.operators.skew import salted_join
+from caudalix.operators.skew import hot_counted, hot_keys, salted_join
+from caudalix.session import cut
 
 # The nine flags, in order.
 FLAGS = ("f_vle", "f_reducao", "f_gama", "f_dobro", "f_150", "f_ordem", "f_mensal", "f_anual", "f_quadro")
@@ -107,6 +108,8 @@ class Star:
     facts: DataFrame
     licences: DataFrame
     parameters: DataFrame
+    #: Licences with so many facts that their rows are spread in joins, as ``hot_keys`` gives them.
+    hot_licences: dict[int, int] | None = None
 
 
 def _numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
@@ -126,33 +129,29 @@ def normalise(rows: DataFrame, source: str) -> Star:
     rank, value, text = limit_order(F.col("vle"))
     rules = filled.groupBy(*key).agg(F.count("*").alias("uso")).withColumns({"slug": slug(F.col("parametro")), "_r": rank, "_v": value, "_t": text})
     rules = _numbered(rules, ["slug"], ["parametro", "_r", "_v", "_t", "vle", *FLAGS], "n")
-    catalogue = rules.select(F.concat_ws("_", F.lit(source), "slug", F.col("n").cast("string")).alias("id_criterio"), *key, "uso")
+    # Both dimensions are written once: their uses tell the hot keys, and every join with the facts reads them again.
+    catalogue = cut(rules.select(F.concat_ws("_", F.lit(source), "slug", F.col("n").cast("string")).alias("id_criterio"), *key, "uso"))
     texts = filled.groupBy("legislacao", "avaliacao").agg(F.count("*").alias("uso"))
     texts = _numbered(texts, [], ["legislacao", "avaliacao"], "n")
     number = F.when(F.col("n") < 100, F.lpad(F.col("n").cast("string"), 2, "0")).otherwise(F.col("n").cast("string"))
-    texts = texts.select(F.concat(F.lit(f"{source}_TX"), number).alias("id_texto"), "legislacao", "avaliacao", "uso")
-    facts = (
-        salted_join(salted_join(filled, catalogue.drop("uso"), key, "row_id", "inner"), texts.drop("uso"), ["legislacao", "avaliacao"], "row_id", "inner")
-        .select("row_id", "licenca", "parametro_doc", "vle", "nota", "id_criterio", "id_texto")
+    texts = cut(texts.select(F.concat(F.lit(f"{source}_TX"), number).alias("id_texto"), "legislacao", "avaliacao", "uso"))
+    pair = ["legislacao", "avaliacao"]
+    ruled = salted_join(filled, catalogue.drop("uso"), key, "row_id", "inner", hot_counted(catalogue, key, "uso"))
+    facts = salted_join(ruled, texts.drop("uso"), pair, "row_id", "inner", hot_counted(texts, pair, "uso")).select(
+        "row_id", "licenca", "parametro_doc", "vle", "nota", "id_criterio", "id_texto"
     )
     licences = pick(filled, ["licenca"], [F.col("row_id")], ["licenca", "estabelecimento"])
     parameters = filled.select("parametro_doc", "parametro").distinct()
-    return Star(catalogue, texts, facts, licences, parameters)
-
-
-def _looked_up(facts: DataFrame, *sides: tuple[DataFrame, str]) -> DataFrame:
-    """Facts joined to unique sides, each by its key; hot keys are spread by row."""
-    for side, key in sides:
-        facts = salted_join(facts, side, [key], "row_id", "inner")
-    return facts
+    return Star(catalogue, texts, facts, licences, parameters, hot_keys(filled, ["licenca"]))
 
 
 def flatten(star: Star) -> DataFrame:
-    """The flat view of a star: every fact with its rule, text and licence."""
-    return (
-        _looked_up(star.facts, (star.catalogue.drop("uso", "vle"), "id_criterio"), (star.texts.drop("uso"), "id_texto"), (star.licences, "licenca"))
-        .select("row_id", "licenca", "estabelecimento", "parametro_doc", "parametro", "vle", "nota", "legislacao", "avaliacao", *FLAGS)
-    )
+    """The flat view of a star: every fact with its rule, text and licence; hot keys of the facts are spread by row."""
+    rules, texts = star.catalogue, star.texts
+    flat = salted_join(star.facts, rules.drop("uso", "vle"), ["id_criterio"], "row_id", "inner", hot_counted(rules, ["id_criterio"], "uso"))
+    flat = salted_join(flat, texts.drop("uso"), ["id_texto"], "row_id", "inner", hot_counted(texts, ["id_texto"], "uso"))
+    flat = salted_join(flat, star.licences, ["licenca"], "row_id", "inner", star.hot_licences)
+    return flat.select("row_id", "licenca", "estabelecimento", "parametro_doc", "parametro", "vle", "nota", "legislacao", "avaliacao", *FLAGS)
 
 
 def integrity(star: Star) -> DataFrame:

@@ -154,8 +154,13 @@ class Model:
         second = max(range(len(total)), key=lambda i: total[i] if i != best else -math.inf)
         if top - total[second] < MARGIN:
             return total, -1
-        speaking = {w for w, s in zip(words, scores) if len(w) > 1 and s[best] > s[second]}
-        return total, best if len(speaking) >= LEAST_WORDS else -1
+        speaking: set[str] = set()
+        for w, s in zip(words, scores):
+            if len(w) > 1 and s[best] > s[second]:
+                speaking.add(w)
+                if len(speaking) == LEAST_WORDS:
+                    return total, best
+        return total, -1
 
 
 def fit(labelled: list[tuple[str, str]]) -> Model | None:

@@ -67,13 +67,29 @@ def missing_list(columns: list[str]) -> tuple[Column, Column]:
     return F.array_join(names, ", "), F.size(names).cast("bigint")
 
 
+def _apart(names: list[str], keys: list[str]) -> list[str]:
+    """Column names for ``names``: one that differs from a key or an earlier name in case only, which column names
+    ignore, gets the next free number behind it."""
+    same = lambda n: n.upper().casefold()
+    given, taken, out = set(map(same, names)), set(map(same, keys)), []
+    for n in names:
+        new, i = n, 2
+        while same(new) in taken or (new != n and same(new) in given):
+            new, i = f"{n} ({i})", i + 1
+        taken.add(same(new))
+        out.append(new)
+    return out
+
+
 def pivot_in_order(df: DataFrame, keys: list[str], name: str, value: Column, first: tuple[str, ...], most: int = 5_000) -> DataFrame:
     """One row per key and one column per value of ``name``: those of ``first`` in their order, then all others in theirs.
 
     The values are counted before they become columns: more than ``most`` raise ValueError, as no table has so many.
-    Cells without a row are null; rows whose ``name`` is null make no column.
+    Cells without a row are null; rows whose ``name`` is null make no column. Values that differ in case only have a
+    column each, the later ones with a number: ``Nt``, ``nt (2)``.
     """
     found = [r[0] for r in df.select(name).where(F.col(name).isNotNull()).distinct().limit(most + 1).collect()]
     if len(found) > most:
         raise ValueError(f"more than {most} values of {name} cannot be columns")
-    return df.groupBy(*keys).pivot(name, [*first, *sorted(set(found) - set(first))]).agg(value)
+    names = [*first, *sorted(set(found) - set(first))]
+    return df.groupBy(*keys).pivot(name, names).agg(value).toDF(*keys, *_apart([str(n) for n in names], keys))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudalix.operators import columns, compare, lookups, measures, records
+from caudalix.plans import report
 from caudalix.sources import files
 
 
@@ -80,3 +81,24 @@ def test_pairs_may_be_chosen(spark):
     chosen = spark.createDataFrame([("A", 2, 3)], "a string, antiga long, nova long")
     assert sorted(map(tuple, compare.oldest_and_newest(df, "a", "s", "i", chosen).collect())) == [("A", 2, 3), ("B", 4, 5)]
     assert sorted(map(tuple, compare.oldest_and_newest(df, "a", "s", "i").collect())) == [("A", 1, 3), ("B", 4, 5)]
+
+
+def test_pivot_of_names_that_differ_in_case(spark, tmp_path):
+    rows = [("a", "Nt", "1"), ("a", "nt", "2"), ("b", "NT", "3"), ("b", "nt (2)", "4"), ("b", "K", "5"), ("b", "nT", "6"), ("a", "E. coli", "7")]
+    df = spark.createDataFrame(rows, "k string, p string, v string")
+    columns.pivot_in_order(df, ["k"], "p", F.max("v"), ("Nt",)).write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    assert wide.columns == ["k", "Nt", "E. coli", "K (2)", "NT (3)", "nT (4)", "nt (5)", "nt (2)"]
+    assert {tuple(r) for r in wide.collect()} == {("a", "1", "7", None, None, None, "2", None), ("b", None, None, "5", "3", "6", None, "4")}
+
+
+def test_limits_pivoted_has_every_limit(spark, tmp_path):
+    """Every cell of limits_by_parameter, over a table whose parameters differ in case, and no other."""
+    rows = [(1, "T1", "CBO5", "", "25"), (2, "T1", "cbo5", "Normal", "30"), (3, "T1", "cbo5", "Estiagem", "20"), (4, "T2", "Azoto", None, "10"), (5, "T2", "azoto", "", "9"), (6, "T2", "N_TUA", "", "8"), (7, "T3", "pH", "Outro", "7")]
+    spark.createDataFrame(rows, "cond_id long, n_tua string, parametro string, periodo string, vle string").write.parquet(str(tmp_path / "conditions.parquet"))
+    report.limits_pivoted(spark, str(tmp_path)).write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    stacked = f"30{report.WET}20{report.DRY}"
+    assert {r["n_tua"]: {c: v for c, v in r.asDict().items() if v is not None and c != "n_tua"} for r in wide.collect()} == {
+        "T1": {"CBO5": "25", "cbo5 (2)": stacked}, "T2": {"Azoto": "10", "azoto (2)": "9", "N_TUA (2)": "8"}, "T3": {"pH": ""}
+    }

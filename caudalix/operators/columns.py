@@ -86,10 +86,15 @@ def pivot_in_order(df: DataFrame, keys: list[str], name: str, value: Column, fir
 
     The values are counted before they become columns: more than ``most`` raise ValueError, as no table has so many.
     Cells without a row are null; rows whose ``name`` is null make no column. Values that differ in case only have a
-    column each, the later ones with a number: ``Nt``, ``nt (2)``.
+    column each, the later ones with a number: ``Nt``, ``nt (2)``. Only the cells there are travel in a shuffle; a row
+    is as wide as the table first where it is written.
     """
     found = [r[0] for r in df.select(name).where(F.col(name).isNotNull()).distinct().limit(most + 1).collect()]
     if len(found) > most:
         raise ValueError(f"more than {most} values of {name} cannot be columns")
     names = [*first, *sorted(set(found) - set(first))]
-    return df.groupBy(*keys).pivot(name, names).agg(value).toDF(*keys, *_apart([str(n) for n in names], keys))
+    cells = df.groupBy(*keys, name).agg(value.alias("_cell"))
+    packed = cells.groupBy(*keys).agg(F.collect_list(F.when(F.col(name).isNotNull(), F.struct(name, "_cell"))).alias("_cells"))
+    by_name = packed.select(*keys, F.map_from_entries("_cells").alias("_by_name"))
+    wide = zip(names, _apart([str(n) for n in names], keys))
+    return by_name.select(*keys, *[F.col("_by_name")[n].alias(new) for n, new in wide])

@@ -102,3 +102,10 @@ def test_limits_pivoted_has_every_limit(spark, tmp_path):
     assert {r["n_tua"]: {c: v for c, v in r.asDict().items() if v is not None and c != "n_tua"} for r in wide.collect()} == {
         "T1": {"CBO5": "25", "cbo5 (2)": stacked}, "T2": {"Azoto": "10", "azoto (2)": "9", "N_TUA (2)": "8"}, "T3": {"pH": ""}
     }
+
+
+def test_pivot_shuffles_no_wide_rows(spark):
+    df = spark.createDataFrame([("a", "pH", "6"), ("a", "ph", "7"), ("b", None, "9")], "k string, p string, v string")
+    wide = columns.pivot_in_order(df, ["k"], "p", F.max("v"), ("pH",))
+    assert {tuple(r) for r in wide.collect()} == {("a", "6", "7"), ("b", None, None)}
+    assert "pivotfirst" not in wide._jdf.queryExecution().executedPlan().toString().lower()

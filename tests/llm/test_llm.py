@@ -325,3 +325,31 @@ def test_language_segments_and_edges(spark):
 def test_every_query_runs(spark, folder):
     for name, f in queries.QUERIES.items():
         assert f(spark, folder).count() >= 0, name
+
+
+def test_linkage_writes_no_unlike_pairs(spark, monkeypatch):
+    """Names that share end, place and company only: their pairs count for the weights and are never written; registry
+    rows that say the same are one, with the lowest id."""
+    some = random.Random(5)
+    names = ["".join(some.sample("bcdfghjlmnpqrtvxz", 9)) + "alho" for _ in range(200)]
+    place = ("Vila Rica", "Sé", "Águas Lda")
+    registry = [(f"P{i:03d}{c}", f"ETAR de {n}", *place, 39.0 + i / 50, -8.0) for i, n in enumerate(names) for c in "ba"]
+    records = [(i, f"ETAR {n}", *place, str(39.0 + i / 50), "-8.0") for i, n in enumerate(names[:100])]
+    schema = "name string, place string, parish string, company string, lat {0}, lon {0}"
+    sizes = []
+
+    def counted(df):
+        made = cut(df)
+        sizes.append(made.count())
+        return made
+
+    cut = linkage.cut
+    monkeypatch.setattr(linkage, "cut", counted)
+    seen = []
+    real = linkage.expectation_maximisation
+    monkeypatch.setattr(linkage, "expectation_maximisation", lambda levels, n: seen.append(n.sum()) or real(levels, n))
+    r, g = spark.createDataFrame(records, "rec_id long, " + schema.format("string")), spark.createDataFrame(registry, "reg_id string, " + schema.format("double"))
+    found = {x["rec_id"]: x["reg_id"] for x in linkage.link(r, g).collect()}
+    assert found == {i: f"P{i:03d}a" for i in range(100)}
+    # Every pair counts once; what is written are records and their like pairs.
+    assert seen == [100 * 2 * len(names)] and sizes[0] == 100 and sizes[1] < 100 * len(names) / 2
